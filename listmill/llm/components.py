@@ -1,0 +1,31 @@
+"""Connected components over a table of links, by hooking and pointer jumping."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from . import common
+
+
+def components(links: DataFrame) -> DataFrame:
+    """links: long columns a, b. Returns node, component (the smallest node reachable) for each node in links.
+
+    Each round, every node's parent becomes the least of its grandparent and its neighbours' grandparents, and the
+    parents of linked nodes are hooked to those too, so trees of any depth fall in logarithmically many rounds. A round
+    is a few shuffles over the linked nodes, with partial minima before each shuffle and the result cut to the shared folder.
+    """
+    both = common.cut(links.where("a <> b").select("a", "b").distinct())
+    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    parents = common.cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("parent")))
+    while True:
+        grand = parents.alias("x").join(parents.alias("y"), F.col("x.parent") == F.col("y.node")).select("x.node", "x.parent", F.col("y.parent").alias("grand"))
+        offered = both.join(grand, both.b == grand.node).select("a", "grand")  # to a, from its neighbour b
+        best = offered.groupBy(F.col("a").alias("node")).agg(F.min("grand").alias("best"))
+        step = grand.join(best, "node")
+        hooks = step.select(F.col("parent").alias("node"), "best").unionByName(step.select("node", F.least("best", "grand").alias("best")))
+        least = hooks.groupBy("node").agg(F.min("best").alias("best"))
+        new = common.cut(parents.join(least, "node", "left").select("node", F.least("parent", "best").alias("parent"), (F.col("best") < F.col("parent")).alias("moved")))
+        parents = new.select("node", "parent")
+        if not new.where("moved").head(1):
+            return parents.select("node", F.col("parent").alias("component"))
