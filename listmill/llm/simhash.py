@@ -111,3 +111,102 @@ def groups(docs: DataFrame, k: int = 3, distance: int = 2) -> DataFrame:
     of = vertices.join(reached, vertices.id == reached.node, "left").select("fp", F.coalesce("component", "id").alias("component_id"))
     of = common.stored(of, "simhash-components")
     return fps.join(of, "fp").select("doc_id", "fp", "component_id")
+
+
+# Similarity of 0.8 and the like takes wider fingerprints: at a Jaccard similarity of s, fingerprints of sets differ in a share of
+# arccos(2 s / (1 + s)) / pi of their bits (0.15 at 0.8), and that many of 64 bits can't be told from chance in a few segments.
+
+#: Bits of a segment, and segments; a pair at a similarity of 0.8 shares one of them with a probability of 0.93, at 0.85 of 0.99.
+WIDE_BITS, WIDE_SEGMENTS = 22, 93
+#: Segments of the chain that is checked from a shared segment on before the whole fingerprints are.
+CHAIN = 8
+#: Standard deviations added to the expected difference, so that pairs at the very threshold are found rather than missed.
+LENIENT = 1.0
+
+
+def wide_fingerprint(text: bytes, k: int = 5) -> np.ndarray:
+    """Bits (0 or 1) of the set of k-word shingles of a text, words lower-cased as in fingerprint()."""
+    words = text.translate(LOWER).split()
+    shingles = {b" ".join(words)} if len(words) < k else {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
+    n = WIDE_BITS * WIDE_SEGMENTS
+    if not words:
+        return np.zeros(n, np.uint8)
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, shingles), np.uint64, len(shingles))
+    counts = []
+    for _ in range(-(-n // 64)):
+        h = h + np.uint64(0x9E3779B97F4A7C15)
+        x = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+        x ^= x >> np.uint64(31)
+        b = x.view(np.uint8).reshape(-1, 8)
+        counts.append((np.bincount((b + np.arange(0, 2048, 256)).ravel(), minlength=2048).reshape(8, 256) @ BITS).ravel())
+    return (np.concatenate(counts)[:n] * 2 > len(shingles)).astype(np.uint8)
+
+
+def budget(similarity: float) -> int:
+    """Most bits that wide fingerprints of texts at this Jaccard similarity may differ in."""
+    n = WIDE_BITS * WIDE_SEGMENTS
+    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    return int(n * share + LENIENT * (n * share * (1 - share)) ** 0.5)
+
+
+def _near(pairs: DataFrame, prints: DataFrame, most: int) -> DataFrame:
+    """Of pairs a, b, seg (a segment they share) those whose fingerprints differ in at most `most` bits."""
+    a, b = (prints.select(F.col("id").alias(x), F.col("bits").alias(f"{x}_bits")) for x in "ab")
+
+    def each(batch):
+        cols = [batch.column(i) for i in range(3)]
+        x, y = (np.unpackbits(np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)[:, : WIDE_BITS * WIDE_SEGMENTS] for i in (3, 4))
+        differ = (x ^ y).reshape(batch.num_rows, WIDE_SEGMENTS, WIDE_BITS).sum(2)
+        ring = (np.asarray(cols[2])[:, None] + np.arange(CHAIN)) % WIDE_SEGMENTS
+        grown = np.cumsum(np.take_along_axis(differ, ring, axis=1), axis=1)
+        # the shared segment may stand anywhere on a good chain, so the budget is that of the chain with the slack of a few segments
+        chained = (grown <= np.arange(1, CHAIN + 1) * most / WIDE_SEGMENTS + 4 * np.sqrt(np.arange(1, CHAIN + 1) * most / WIDE_SEGMENTS)).all(axis=1)
+        near = chained & (differ.sum(1) <= most)
+        yield pa.record_batch([c.filter(pa.array(near)) for c in cols[:2]], names=["a", "b"])
+
+    return common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "seg", "a_bits", "b_bits"), each, "a long, b long")
+
+
+def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> DataFrame:
+    """doc_id, component_id of every row: groups linked by a similarity of their sets of k-word shingles of at least about `similarity`.
+
+    Buckets hold the fingerprints that share a segment. First each is compared with its bucket's least one, which joins large groups at a
+    cost linear in them; then, in buckets that still hold several groups, all but the largest group's members are compared with
+    those of other groups. So no two of one group are compared for nothing, and no pair of a bucket that could link two groups is left out.
+    """
+    n = WIDE_BITS * WIDE_SEGMENTS
+    powers = 1 << np.arange(WIDE_BITS)
+
+    def each(batch):
+        bits = np.array([wide_fingerprint(t.as_py(), k) for t in batch.column(1)], np.uint8).reshape(-1, n)
+        segs = bits.reshape(-1, WIDE_SEGMENTS, WIDE_BITS) @ powers
+        packed = np.packbits(bits, axis=1)
+        yield pa.record_batch({"doc_id": batch.column(0).cast(pa.int64()), "bits": pa.array([x.tobytes() for x in packed], pa.binary()), "segs": pa.array(list(segs.astype(np.int32)), pa.list_(pa.int32()))})
+
+    prints = common.stored(common.mapped(common.docs_of(docs), each, "doc_id long, bits binary, segs array<int>"), "simhash-wide")
+    one = common.stored(prints.groupBy("bits").agg(F.min("doc_id").alias("id"), F.min("segs").alias("segs")), "simhash-wide-distinct")
+    keyed = one.select("id", F.posexplode("segs").alias("seg", "value"))
+    sizes = keyed.groupBy("seg", "value").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
+    busy = common.stored(keyed.join(sizes, ["seg", "value"]).select("seg", "value", "id", "least"), "simhash-wide-busy")
+    only = one.select("id", "bits")
+    most = budget(similarity)
+    star = busy.where(F.col("id") != F.col("least")).groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.min("seg").alias("seg"))
+    links = common.cut(_near(star, only, most))
+    reached = components(links)
+    held = busy.join(reached.withColumnRenamed("node", "id"), "id", "left").select("seg", "value", "id", F.coalesce("component", "id").alias("group"))
+    per = held.groupBy("seg", "value", "group").agg(F.count("*").alias("n"))
+    mixed = per.groupBy("seg", "value").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.count("*").alias("groups")).where("groups > 1").select("seg", "value", "main")
+    several = common.stored(held.join(common.stored(mixed, "simhash-wide-mixed"), ["seg", "value"]), "simhash-wide-several")
+    x, y = several.where(F.col("group") != F.col("main")).alias("x"), several.alias("y")
+    across = x.join(y, (F.col("x.seg") == F.col("y.seg")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.group") != F.col("y.group")))
+    across = across.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.min("x.seg").alias("seg"))
+    links = links.unionByName(_near(across, only, most))
+    of = one.join(components(links), one.id == F.col("node"), "left").select("bits", F.coalesce("component", "id").alias("component_id"))
+    return prints.select("doc_id", "bits").join(common.stored(of, "simhash-wide-components"), "bits").select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> DataFrame:
+    """docs with one document of each group of similar ones, that with the smallest doc_id; rows that repeat that doc_id stay."""
+    gone = similar_groups(docs, similarity, k).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
+    return docs.join(gone, docs.doc_id == gone.gone, "left_anti")
