@@ -96,7 +96,7 @@ keyed AS (SELECT doc_id, size, source_size::BIGINT AS source_size, target, place
 placed AS (SELECT *, sum(size) OVER (PARTITION BY place ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before, CASE WHEN source_size > 0 THEN least(floor(target / source_size), 2) ELSE 0 END AS whole FROM keyed)
 SELECT doc_id, size::BIGINT AS size, source_size, target, (whole * size + greatest(0, least(size, floor(target) - whole * source_size - before)))::BIGINT AS taken FROM placed"""
 
-OP3 = """WITH sound AS (SELECT vec_id, embedding AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, x -> x IS NOT NULL AND isfinite(x))) = len(embedding)),
-parts AS (SELECT row_number() OVER () AS r, vec_id, list_transform(e, x -> floor(x::DOUBLE * 256)::BIGINT) AS v FROM sound),
-scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), i -> q.v[i] * c.v[i]))::BIGINT AS score FROM parts q JOIN parts c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v))
+OP3 = """WITH sound AS (SELECT vec_id, embedding AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+parts AS (SELECT row_number() OVER () AS r, vec_id, list_transform(e, lambda x: floor(x::DOUBLE * 256)::BIGINT) AS v FROM sound),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score FROM parts q JOIN parts c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v))
 SELECT query_id, rank::INT AS rank, vec_id, score FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 5"""
