@@ -35,6 +35,8 @@ def parse(label: str | None, currency: str | None = None) -> Salary:
     if len(parts) != 2 or not all(amounts) or re.match(r"(?i)\s*(?:up to|from)\b", label):
         return Salary(None, None, code, period)
     low, high = _number(amounts[0]), _number(amounts[1])
+    if amounts[1][2] and not amounts[0][2] and low < 1000:  # the sign for thousands is said once
+        low *= 1000
     if low > high:
         return Salary(None, None, code, period)
     return Salary(low, high, code, period)
