@@ -106,6 +106,11 @@ def borders(sizes: DataFrame, target: int = SHARD_BYTES) -> list[int]:
 def write(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL_BYTES, target: int = SHARD_BYTES) -> DataFrame:
     """Writes pages (page_id, url, html) under a folder that all executors reach (a URI); returns the committed manifest: file, records, bytes, sha256."""
     spark = pages.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    at = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    at.mkdirs(path(folder))
+    if at.exists(path(f"{folder}/_manifest")):
+        raise OSError(f"{folder} has a manifest already")
     facts = common.stored(_payloads(pages).select("page_id", "key", "n"), "warc-facts")
     firsts = facts.where(F.col("n") >= least).groupBy("key").agg(F.min("page_id").alias("first"), F.count("*").alias("copies")).where("copies > 1")
     firsts = common.stored(firsts.select("key", "first", F.lit(True).alias("shared")), "warc-firsts")
@@ -146,23 +151,15 @@ def write(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL_BYTES,
             yield out.commit()
 
     tmp = f"{folder}/_manifest-{uuid.uuid4().hex}"
-    _made(spark, folder)
     dealt.mapInArrow(each, MANIFEST).write.json(tmp)
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    at = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
     if not at.rename(path(tmp), path(f"{folder}/_manifest")):
-        raise OSError(f"{folder} has a manifest already")
+        raise OSError(f"{folder}: the manifest can't be committed")
     return spark.read.schema(MANIFEST).json(f"{folder}/_manifest")
 
 
 MANIFEST = "file string, records long, bytes long, sha256 string"
 
 
-def _made(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(path)
-
-
 class File:
     """One archive, under a temporary name until commit()."""
 
