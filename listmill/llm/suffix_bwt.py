@@ -1,10 +1,10 @@
 """Suffix-array dedup: merged Burrows-Wheeler transforms of shards show which byte strings of a given length repeat.
 
-Each shard's suffixes are sorted once, which gives its transform (the byte before each suffix, in suffix order) and its
-steps from a suffix to the one a byte longer. Shards are then merged without sorting suffixes again, by refining how they interleave:
-if the interleaving sorts all suffixes by their first h bytes, dealing its entries stably into buckets by the byte before each sorts them by
-their first h + 1. Where neighbours first fall apart in round h, their common prefix is h - 1 bytes long; after `length` rounds, what still
-hangs together are the repeated intervals: the suffixes that share `length` bytes.
+Each shard's suffixes are sorted once, which gives its transform (what stands before each suffix, in suffix order) and its
+steps from a suffix to the longer one. Shards are then merged without sorting suffixes again, by refining how they interleave:
+if the interleaving sorts all suffixes by their first h bytes, dealing its entries stably into buckets by the q bytes before each brings together those with the same
+first h + q (the q bytes are numbered beforehand, so a round costs as much for 40 bytes as for one). Where neighbours fall apart in a round, their common prefix is
+shorter than its depth; at a depth of `length`, what still hangs together are the repeated intervals: the suffixes that share `length` bytes.
 
 What repeats anywhere in the corpus meets in one merge because texts are cut into segments by anchor first (see repeats).
 
@@ -41,64 +41,90 @@ class Shard:
         text[inside] = np.frombuffer(b"".join(strings), np.uint8).astype(np.uint16) + 1
         rank = text.astype(np.int64) + len(strings)
         rank[ends] = np.arange(len(strings))
-        depth = 1
+        depth, top = 1, len(strings) + 300
         while True:
             after = np.zeros(n, np.int64)
-            after[: n - depth] = rank[depth:] + 1 if depth < n else 0
-            both = rank * (n + len(strings) + 300) + after
+            if depth < n:
+                after[: n - depth] = rank[depth:] + 1
+            both = rank * (top + 2) + after
             order = np.argsort(both, kind="stable")
             ranked = both[order]
             new = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-            rank = np.empty(n, np.int64)
             rank[order] = new
-            depth *= 2
-            if depth >= length or new[-1] == n - 1:
+            depth, top = depth * 2, int(new[-1])
+            if depth >= length or top == n - 1:
                 break
-        # ties beyond the window's length: any order that stepping by a byte keeps, which sorting by place after depth bytes gives
-        if new[-1] != n - 1:
-            while new[-1] != n - 1:
-                after = np.zeros(n, np.int64)
-                if depth < n:
-                    after[: n - depth] = rank[depth:] + 1
-                both = rank * (n + 1) + after
-                order = np.argsort(both, kind="stable")
-                ranked = both[order]
-                new = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
-                rank[order] = new
-                depth *= 2
-        self.order = order.astype(np.int32)  # suffix array: marks come first, in the strings' order
-        before = np.where(order > 0, order - 1, n - 1)
-        self.before = text[before]  # the transform: 0 where a string starts
-        self.step = rank[before].astype(np.int32)  # the suffix that is a byte longer
-        self.strings = len(strings)
+        self.text, self.order = text, order
+        self.place = np.empty(n, np.int64)  # of each suffix in the order; what is equal in `length` bytes stays as it came
+        self.place[order] = np.arange(n)
+
+
+#: Bytes that a round of refinement goes on by, at most.
+STRIDE = 40
+
+
+def grams(codes: np.ndarray, q: int) -> np.ndarray:
+    """A number for the q symbols that begin at each place of a text (read as a ring), the same for the same symbols."""
+
+    def paired(x: np.ndarray, y: np.ndarray, at: int) -> np.ndarray:
+        return np.unique(x * (np.int64(y.max()) + 1) + np.roll(y, -at), return_inverse=True)[1]
+
+    spans, n = {1: codes.astype(np.int64)}, 1
+    while 2 * n <= q:
+        spans[2 * n] = paired(spans[n], spans[n], n)
+        n *= 2
+    out, done = spans[n], n
+    while done < q:
+        n = max(k for k in spans if k <= q - done)
+        out, done = paired(out, spans[n], done), done + n
+    return out
 
 
 def interleaved(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The merged order of all suffixes by their first `length` bytes (places in the shards' orders, one after the other), and where a new common prefix begins."""
+    """The merged order of all suffixes by their first `length` bytes (places in the shards' orders, one after the other), and where a new common prefix begins.
+
+    A suffix that meets a mark within those bytes has no equal.
+    """
     base = np.cumsum([0, *(len(s.order) for s in shards)])
-    before = np.concatenate([s.before for s in shards])
-    values, before = np.unique(before, return_inverse=True)
-    before = before.astype(np.uint8 if len(values) <= 256 else np.uint16)  # buckets by byte: a radix pass
-    step = np.concatenate([s.step + b for s, b in zip(shards, base, strict=False)]).astype(np.int32)
-    marks = np.concatenate([np.arange(s.strings) + b for s, b in zip(shards, base, strict=False)]).astype(np.int32)
-    n, m = len(before), len(marks)
-    order = np.arange(n, dtype=np.int32)
-    starts = np.zeros(n, bool)
+    n = int(base[-1])
+    text = np.concatenate([s.text for s in shards])
+    at = np.concatenate([s.order + b for s, b in zip(shards, base, strict=False)])  # where each suffix begins
+    place = np.concatenate([s.place + b for s, b in zip(shards, base, strict=False)])
+    marks = np.concatenate([[0], np.cumsum(text == 0)])
+
+    def steps(q: int):
+        """The transforms in steps of q: what stands in the q places before each suffix, the suffix that begins there, and whether a suffix meets a mark in its first q places."""
+        before = grams(text, q)[(at - q) % n]
+        alone = marks[np.minimum(at + q, n)] > marks[at]
+        return (before & 0xFFFF).astype(np.uint16), (before >> 16).astype(np.uint16) if before.max() > 0xFFFF else None, place[(at - q) % n].astype(np.int32), alone
+
+    order, starts = np.arange(n, dtype=np.int32), np.zeros(n, bool)
     starts[0] = True
-    for _ in range(length):
-        byte = before[order]
-        deal = np.argsort(byte, kind="stable")
-        interval = np.cumsum(starts, dtype=np.int32)[deal]
-        byte = byte[deal]
-        order = step[order[deal]]
-        order[:m] = marks
-        starts = np.empty(n, bool)
-        starts[0] = True
-        np.not_equal(interval[1:], interval[:-1], out=starts[1:])
-        starts[1:] |= byte[1:] != byte[:-1]
-        starts[: m + 1] = True
-        if starts.all():
-            break
+    stride = min(STRIDE, length)
+    for q, rounds in ((length % stride, 1), (stride, length // stride)):
+        if not q:
+            continue
+        low, high, to, alone = steps(q)
+        for _ in range(rounds):
+            # deal into buckets by what stands before, stably: a radix pass, or two where there are many buckets
+            deal = np.argsort(low[order], kind="stable")
+            if high is not None:
+                deal = deal[np.argsort(high[order[deal]], kind="stable")]
+            interval = np.cumsum(starts, dtype=np.int32)[deal]
+            old = order[deal]
+            order = to[old]
+            starts = np.empty(n, bool)
+            starts[0] = True
+            np.not_equal(interval[1:], interval[:-1], out=starts[1:])
+            for half in (low, high):
+                if half is not None:
+                    bucket = half[old]
+                    starts[1:] |= bucket[1:] != bucket[:-1]
+            single = alone[order]
+            starts |= single
+            starts[1:] |= single[:-1]
+            if starts.all():
+                return order, starts
     return order, starts
 
 

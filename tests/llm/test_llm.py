@@ -109,8 +109,10 @@ def test_empty_tables(spark):
     assert vafile.top_k(none, F.col("vec_id") % 50 == 0).collect() == [] and vamana.nearest(none, F.col("vec_id") % 20 == 0).collect() == []
 
 
-def test_merged_transforms_with_many_shards(monkeypatch):
+@pytest.mark.parametrize("stride", [1, 5, 40])
+def test_merged_transforms_with_many_shards(monkeypatch, stride):
     monkeypatch.setattr(suffix_bwt, "SHARD", 40)
+    monkeypatch.setattr(suffix_bwt, "STRIDE", stride)
     rnd, kind = random.Random(5), Kind(False, 12, 4)
     for _ in range(60):
         base = bytes(rnd.choices(b"abcd \x00", k=80))
