@@ -136,11 +136,11 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: DataFrame | None = None,
     prior = (float(seen.p or 0) + 1) / (seen.n + 2)
     if not seen.p:
         return Model(prior)
-    positive = rows.where("y = 1").orderBy(F.xxhash64("l"), "l").limit(bound).select("l", F.lit(1).alias("side"))
+    positive = common.in_hash_order(rows.where("y = 1"), "l", bound).select("l", F.lit(1).alias("side"))
     others = docs.select(F.col("doc_id").alias("l")).join(rows.select(F.col("l").alias("known")), F.col("l") == F.col("known"), "left_anti")
     if held_out is not None:
         others = others.join(held_out.select(F.col("doc_id").alias("known")), F.col("l") == F.col("known"), "left_anti")
-    others = others.where("l is not null").distinct().orderBy(F.xxhash64("l"), "l").limit(2 * bound).select("l", F.lit(0).alias("side"))
+    others = common.in_hash_order(common.cut(others.where("l is not null").distinct()), "l", 2 * bound).select("l", F.lit(0).alias("side"))
     picked = common.cut(positive.unionByName(others))  # 3 * bound rows of 12 bytes
     chosen = common.docs_of(docs.join(F.broadcast(picked), docs.doc_id == F.col("l")), "side")
     got = _measured(chosen).collect()  # bounded like picked, 32 numbers a row
