@@ -2,42 +2,19 @@
 
 from __future__ import annotations
 
-import uuid
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Used only where the session names no shared folder, as in local tests.
-LOCAL_SHARED = "/tmp/checkpoints/listmill"
+from ..sources.shared import cut, shared_dir, stored  # noqa: F401  operators take them from here
 
 #: Words are what lies between these bytes: U+0020 and U+0009 to U+000D. bytes.split() parts at just these.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else a local one."""
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(found or LOCAL_SHARED)
-    return (found or LOCAL_SHARED).rstrip("/")
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """checkpoint(): the rows are written once to the shared folder, so lost executors cost no recomputing of what came before."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Like cut(), as a table: what reads it starts from a plain scan, so Spark can choose exchanges, split skewed ones and prune columns."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def mapped(df: DataFrame, f, schema: str) -> DataFrame:
     """mapInArrow with a function from one batch to rows as columns (dict of lists or arrays), or None."""
 
@@ -68,3 +45,9 @@ def in_hash_order(rows: DataFrame, key: str, bound: int) -> DataFrame:
         near = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int((1 << 40) * (1.5 * bound / n) + 1))
         rows = near if near.count() >= bound else rows
     return rows.orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 40)), key).limit(bound)
+
+
+def release() -> None:
+    """Lets go of plans that are no longer referenced, so that Spark's cleaner deletes their shuffle files now and not at the driver's next full collection."""
+    gc.collect()
+    SparkSession.active().sparkContext._jvm.System.gc()

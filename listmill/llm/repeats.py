@@ -225,11 +225,13 @@ def repeated(docs: DataFrame, kind: Kind, resolver: Resolver, earlier: bool, kee
     same = common.stored(same, "repeats-same")
     firsts = common.stored(same.select("first.row", "copies"), "repeats-firsts")
     segs = segments(texts, firsts, kind)
+    common.release()
     variants = segs.groupBy("key").agg(
         F.min("anchor").alias("anchor"), F.min("seg").alias("seg"), F.min("windows").alias("windows"), F.min("alone").alias("alone"), F.sum("copies").alias("places"), F.min(F.expr(PLACE)).alias("first")
     )
     variants = variants.withColumn("symbols", F.col("windows") + F.lit(kind.length - 1))
     variants = common.stored(variants, "repeats-variants")
+    common.release()
     met = segs.select("key", "row", "doc_id", "at", "windows").join(variants.select("key", "places", "first"), "key")
     # equal segments: all their windows repeat, and all but the first place have an earlier one
     equal = met.where(F.expr(PLACE) > F.col("first") if earlier else F.col("places") > 1).select("row", F.col("at").alias("a"), (F.col("at") + F.col("windows")).alias("b"))
@@ -239,6 +241,8 @@ def repeated(docs: DataFrame, kind: Kind, resolver: Resolver, earlier: bool, kee
     others = texts.select("row", "digest").join(same, "digest")
     whole = others.where((F.col("row") != F.col("first.row")) if earlier else F.col("copies") > 1).select("row", F.lit(True).alias("whole"))
     decided = common.stored(spans.join(whole, "row", "full_outer"), "repeats-decided")
+    del met, equal, spans, others, whole, variants, segs
+    common.release()
     columns = ["doc_id", "z", "size", *["rest"] * keep]
     return texts.select("row", *columns).join(decided, "row", "left").select(*columns, (F.coalesce("whole", F.lit(False)) & (F.col("size") >= kind.length)).alias("whole"), "spans")
 

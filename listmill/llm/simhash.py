@@ -23,8 +23,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from . import common
-from .components import components
 
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 #: The 8 bits of each byte value, lowest first.
@@ -120,6 +120,8 @@ def groups(docs: DataFrame, k: int = 3, distance: int = 2) -> DataFrame:
 WIDE_BITS, WIDE_SEGMENTS = 22, 93
 #: Segments of the chain that is checked from a shared segment on before the whole fingerprints are.
 CHAIN = 8
+#: Segments whose buckets are compared with their least members in one go.
+STAGES = ((0, 6), (6, WIDE_SEGMENTS))
 #: Standard deviations added to the expected difference, so that pairs at the very threshold are found rather than missed.
 LENIENT = 1.0
 
@@ -191,10 +193,15 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> Data
     busy = common.stored(keyed.join(sizes, ["seg", "value"]).select("seg", "value", "id", "least"), "simhash-wide-busy")
     only = one.select("id", "bits")
     most = budget(similarity)
-    star = busy.where(F.col("id") != F.col("least")).groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.min("seg").alias("seg"))
-    links = common.cut(_near(star, only, most))
-    reached = components(links)
-    held = busy.join(reached.withColumnRenamed("node", "id"), "id", "left").select("seg", "value", "id", F.coalesce("component", "id").alias("group"))
+    links, held = None, busy.withColumns({"group": F.col("id"), "least_group": F.col("least")})
+    for since, until in STAGES:  # a few segments join most of a large group; later ones add only pairs that aren't in one group yet
+        star = held.where((F.col("group") != F.col("least_group")) & F.col("seg").between(since, until - 1))
+        star = star.groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.min("seg").alias("seg"))
+        found = common.cut(_near(star, only, most))
+        links = found if links is None else links.unionByName(found)
+        reached = components(links)
+        named = [reached.select(F.col("node").alias(n), F.col("component").alias(f"{n}_component")) for n in ("id", "least")]
+        held = busy.join(named[0], "id", "left").join(named[1], "least", "left").select(*busy.columns, F.coalesce("id_component", "id").alias("group"), F.coalesce("least_component", "least").alias("least_group"))
     per = held.groupBy("seg", "value", "group").agg(F.count("*").alias("n"))
     mixed = per.groupBy("seg", "value").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.count("*").alias("groups")).where("groups > 1").select("seg", "value", "main")
     several = common.stored(held.join(common.stored(mixed, "simhash-wide-mixed"), ["seg", "value"]), "simhash-wide-several")

@@ -211,7 +211,7 @@ def test_simhash_links(spark, hot):
             prints.setdefault(x, len(prints))
     ids = {i: x for x, i in prints.items()}
     df = spark.createDataFrame([(i, x - (1 << 64) if x >> 63 else x) for i, x in ids.items()], "id long, fp long")
-    from listmill.llm.components import components
+    from listmill.operators.components import components
 
     got = {r.node: r.component for r in components(simhash.links(df, hot=hot)).collect()}
     assert {i: got.get(i, i) for i in ids} == brute_groups(ids, 2)
