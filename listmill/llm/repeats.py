@@ -8,7 +8,7 @@ windows of one anchor need comparing. Consecutive windows with one anchor are a
 2. Anchors are counted; those of one place are dropped.
 3. Texts with other anchors give their segments. Equal segments become one variant, with its places counted.
 4. Variants of one anchor are compared by a resolver (a merged Burrows-Wheeler transform, or a suffix automaton), some anchors at a time. An
-   anchor with more symbols in its variants than HOT has its windows counted one by one instead, dealt by the window itself.
+   anchor with more symbols in its variants than HOT is parted into stretches of windows instead, which are counted by their text, from long ones to single windows.
 5. The spans found go back to their rows.
 
 Everything that meets in a task is bounded: a text, the variants of some anchors up to HOT symbols, counts by key. Keys with many rows (an anchor or
@@ -65,17 +65,22 @@ def sliding(x: np.ndarray, width: int, least: np.ufunc) -> np.ndarray:
     return least(x[: len(x) - (width - span)], x[width - span :]) if span < width else x
 
 
-def anchors(kind: Kind, symbols) -> tuple[np.ndarray, np.ndarray]:
-    """The anchor of each window, and the hashes at the places that are an anchor of some window."""
-    if len(symbols) < kind.length:
-        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+def hashes(kind: Kind, symbols) -> np.ndarray:
+    """Of the gram-symbol string at each place."""
     h, span, i = kind.base(symbols), 1, 0
     while span < kind.gram:
         h = h[:-span] * _ODD[2 * i % len(_ODD)] + h[span:]
         h ^= h >> np.uint64(29)
         h *= _ODD[(2 * i + 1) % len(_ODD)]
         span, i = 2 * span, i + 1
-    h ^= h >> np.uint64(32)
+    return h ^ (h >> np.uint64(32))
+
+
+def anchors(kind: Kind, symbols) -> tuple[np.ndarray, np.ndarray]:
+    """The anchor of each window, and the hashes at the places that are an anchor of some window."""
+    if len(symbols) < kind.length:
+        return np.empty(0, np.uint64), np.empty(0, np.uint64)
+    h = hashes(kind, symbols)
     width = kind.length - kind.gram + 1
     of = sliding(h, width, np.minimum)
     pad = np.zeros(width - 1, np.uint64)
@@ -181,27 +186,43 @@ def resolved(variants: DataFrame, kind: Kind, resolver: Resolver, earlier: bool)
     cold = open_.where("not hot").select("anchor", "seg", "windows", "places", "first.doc_id", "first.row", "first.at")
     got = cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(each, "row long, a long, b long")
 
-    # anchors with too much for one task: window by window
-    def apart(batch):
-        out = {"key": [], "doc_id": [], "row": [], "at": [], "places": []}
-        for seg, windows, n, doc_id, row, at in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+    # anchors with too much for one task: by equal stretches of windows, from long ones to single windows
+    rows = open_.where("hot").select("seg", "windows", "places", "first.doc_id", "first.row", "first.at")
+    for width in WIDTHS:
+        parts = common.stored(common.mapped(rows, _apart(kind, width), _PART_DDL), "repeats-parts")
+        same = parts.groupBy("key").agg(F.count("*").alias("n"), F.min(F.expr(PLACE)).alias("first"), F.sum("places").alias("places"), F.min("windows").alias("windows"), F.min("seg").alias("seg"))
+        same = common.stored(same, "repeats-parts-distinct")
+        again = parts.select("key", "row", "doc_id", "at", "windows").join(same.where("n > 1").select("key", "first"), "key")
+        if earlier:
+            again = again.where(F.expr(PLACE) > F.col("first"))
+        got = got.unionByName(again.select("row", F.col("at").alias("a"), (F.col("at") + F.col("windows")).alias("b")))
+        rows = same.select("seg", "windows", "places", "first.doc_id", "first.row", "first.at")  # the first stands for all equal ones
+    return got
+
+
+#: Windows in the stretches that variants of a hot anchor are parted into, one after the other. Stretches begin at multiples of the width from the anchor, so that the same windows fall together.
+WIDTHS = (64, 16, 4, 1)
+_PART = pa.schema([("key", pa.binary()), ("seg", pa.binary()), ("windows", pa.int64()), ("places", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.int64())])
+_PART_DDL = "key binary, seg binary, windows long, places long, doc_id long, row long, at long"
+
+
+def _apart(kind: Kind, width: int):
+    def each(batch):
+        out = {f.name: [] for f in _PART}
+        for seg, windows, places, doc_id, row, at in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
             symbols = kind.symbols(seg)
-            for i in range(windows):
-                out["key"].append(hashlib.blake2b(kind.join(symbols[i : i + kind.length]), digest_size=16).digest())
-                out["at"].append(at + i)
-            for name, value in (("doc_id", doc_id), ("row", row), ("places", n)):
-                out[name] += [value] * windows
-        yield _rows(out, single)
-
-    single = pa.schema([("key", pa.binary()), ("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.int64()), ("places", pa.int64())])
-    hot = open_.where("hot").select("seg", "windows", "places", "first.doc_id", "first.row", "first.at")
-    each_window = common.stored(common.mapped(hot, apart, "key binary, doc_id long, row long, at long, places long"), "repeats-windows")
-    total = each_window.groupBy("key").agg(F.sum("places").alias("n"), F.count("*").alias("variants"), F.min(F.expr(PLACE)).alias("first")).where("variants > 1")
-    total = common.stored(total, "repeats-window-counts")
-    again = each_window.join(total, "key")
-    if earlier:
-        again = again.where(F.expr(PLACE) > F.col("first"))
-    return got.unionByName(again.select("row", F.col("at").alias("a"), (F.col("at") + 1).alias("b")))
+            anchor = int(hashes(kind, symbols[: kind.length]).argmin())
+            edges = [0, *range(anchor % width or width, windows, width), windows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                part = kind.join(symbols[a : b - 1 + kind.length])
+                for name, value in (("key", hashlib.blake2b(part, digest_size=16).digest()), ("seg", part), ("windows", b - a), ("places", places), ("doc_id", doc_id), ("row", row), ("at", at + a)):
+                    out[name].append(value)
+            if len(out["key"]) > 20_000:
+                yield _rows(out, _PART)
+                out = {f.name: [] for f in _PART}
+        yield _rows(out, _PART)
+
+    return each
 
 
 def _spans(held: list[tuple], kind: Kind, resolver: Resolver) -> pa.RecordBatch:
