@@ -6,12 +6,14 @@ balanced, so a source is range-sorted into as many ranges as its row count asks
 any other, ranges' sums are added up over few rows, and a document's place needs only its own range.
 
 Defined results: null text has size 0 and nothing to take; a null source is a source of its own, after all others; repeated rows
-(also of one doc_id) each count, ordered by size; sources without words get target 0; an empty table gives an empty table; extra
+(also of one doc_id, or without one) each count, ordered by size, and are each taken by themselves; sources without words get target 0; an empty table gives an empty table; extra
 columns are ignored (mix) or kept (mixed).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -56,9 +58,9 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, re
     return lit.select("source", "place", "source_size", "n", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: str = SEED) -> DataFrame:
-    """doc_id, size, source_size, target, taken (words, repeats counted) for every row."""
-    sized = common.cut(docs.select("doc_id", "source", size(F.col("text")).alias("size")))
+def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, repeats: int = REPEATS, seed: str = SEED, row: tuple = ()) -> DataFrame:
+    """doc_id, size, source_size, target, taken (words, repeats counted) for every row, and the columns `row`, which order rows of one doc_id and size."""
+    sized = common.cut(docs.select("doc_id", "source", size(F.col("text")).alias("size"), *row))
     goal = common.cut(targets(sized, weights, share, repeats).withColumnRenamed("source", "s"))
     goal = F.broadcast(goal) if goal.count() <= BROADCAST_SOURCES else goal
     keyed = sized.join(goal, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("key", key(F.col("doc_id"), seed))
@@ -67,24 +69,28 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, repeats
     sums = keyed.groupBy("place", "range").agg(F.sum("size").alias("words"))
     before = F.sum("words").over(W.partitionBy("place").orderBy("range").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("words")
     offsets = common.cut(sums.select("place", "range", before.alias("offset")))
-    inside = W.partitionBy("place", "range").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, W.currentRow)
+    inside = W.partitionBy("place", "range").orderBy("key", "doc_id", "size", *row).rowsBetween(W.unboundedPreceding, W.currentRow)
     placed = keyed.withColumn("before", F.sum("size").over(inside) - F.col("size"))
     placed = placed.join(offsets, ["place", "range"]).withColumn("before", F.col("before") + F.col("offset"))
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(repeats))).otherwise(0)
     part = F.greatest(F.lit(0), F.least(F.col("size"), F.floor("target") - whole * F.col("source_size") - F.col("before")))
-    return placed.select("doc_id", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"), "source")
+    return placed.select("doc_id", "size", "source_size", "target", (whole * F.col("size") + part).cast("long").alias("taken"), "source", *row)
 
 
 def mixed(docs: DataFrame, **how) -> DataFrame:
-    """The mix itself: each document as often as it is taken whole, and on a source's border a last copy with the words taken.
+    """The mix itself: each row as often as it is taken whole, and on a source's border a last copy with the words taken.
 
-    doc_id tells documents apart here: rows that repeat one are taken as one (the mix of their least size).
+    Rows get numbers of their own, as doc_id may repeat or be null; those of one doc_id and size stand in the order of their texts' hash.
     """
-    taken = mix(docs, **how).groupBy("doc_id").agg(F.min_by("taken", "size").alias("taken"), F.min("size").alias("size")).withColumnRenamed("doc_id", "d")
-    copies = F.when(F.col("size") > 0, F.ceil(F.col("taken") / F.col("size"))).otherwise(0)
-    each = docs.join(taken, docs.doc_id.eqNullSafe(taken.d)).where(copies > 0).withColumn("copy", F.explode(F.sequence(F.lit(1), copies.cast("int"))))
-    left = F.col("taken") - (F.col("copy") - 1) * F.col("size")
+    name = f"row_{uuid.uuid4().hex}"
+    rows = common.stored(docs.withColumn(name, F.monotonically_increasing_id()), "mixing-rows")
+    taken = mix(rows.withColumn(f"{name}_text", F.xxhash64("text")), row=(f"{name}_text", name), **how).where("taken > 0").select(name, "taken", "size")
+    # only rows with words are taken, so size isn't 0
+    each = rows.join(taken.withColumnsRenamed({"taken": f"{name}_taken", "size": f"{name}_size"}), name)
+    taken, size = F.col(f"{name}_taken"), F.col(f"{name}_size")
+    each = each.withColumn(f"{name}_copy", F.explode(F.sequence(F.lit(1), F.ceil(taken / size).cast("int"))))
+    left = taken - (F.col(f"{name}_copy") - 1) * size
     words = F.slice(F.regexp_extract_all("text", F.lit(common.WORD), F.lit(0)), F.lit(1), left.cast("int"))
-    text = F.when(left >= F.col("size"), F.col("text")).otherwise(F.array_join(words, " "))
+    text = F.when(left >= size, F.col("text")).otherwise(F.array_join(words, " "))
     columns = [text.alias("text") if c == "text" else F.length(text).cast("long").alias("n_chars") if c == "n_chars" else F.col(c) for c in docs.columns]
     return each.select(*columns)

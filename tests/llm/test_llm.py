@@ -285,6 +285,34 @@ def test_mix(spark):
     assert out.columns == df.columns and {i: n for i, n in taken.items() if n} == dict(words)
 
 
+def test_mixed_takes_each_row_by_itself(spark):
+    """Rows that repeat a doc_id, and rows without one, are in the mix as often as the mix takes each."""
+    rows = [(1, "a b c", "s"), (1, "", "s"), (2, "d " * 40, "s"), (2, "e " * 3, "s"), *((None, f"n{i} " * i, "s") for i in range(6)), (4, "f g", "s"), (4, "f g", "s")]
+    df = frame(spark, rows)
+    for share in (1.0, 1.5, 2.0):
+        want = Counter()
+        for r in mixing.mix(df, share=share).collect():
+            want[r.doc_id, r.size] += r.taken
+        got, whole = Counter(), {(i, len((t or "").split())): set((t or "").split()) for i, t, _ in rows}
+        for r in mixing.mixed(df, share=share).collect():
+            key = next(k for k, w in whole.items() if k[0] == r.doc_id and w & set(r.text.split()))
+            got[key] += len(r.text.split())
+        assert +want == got
+
+
+def test_repeated_rows_pass_the_stages(spark):
+    """A document given twice is once in the mix: of its two rows the second loses its words, not both."""
+    import corpus_pipeline
+
+    rnd = random.Random(9)
+    text = [" ".join("".join(rnd.choices("abcdefghij", k=6)) for _ in range(60)) for _ in range(5)]
+    docs = frame(spark, [(1, text[0], "s"), (1, text[0], "s"), (2, text[1], "s"), (None, text[2], "s"), (None, text[2], "s"), (None, text[3], "s"), (None, "", "s"), (3, text[4], "s")])
+    for stage in (corpus_pipeline.not_copied, corpus_pipeline.not_repeated):
+        docs = spark.createDataFrame((out := stage(spark, docs, "")).collect(), out.schema)
+    words = {w for r in mixing.mixed(docs, share=2.0).collect() for w in r.text.split()}
+    assert words == {w for t in text for w in t.split()}
+
+
 def test_warc(spark, tmp_path):
     same = "<p>same</p>" * 50
     rows = [(i, f"http://h/{i}", same if i % 3 == 0 else f"<p>{i}</p>" * (i % 40), "c") for i in range(120)] + [(500, None, None, "c"), (501, "http://x y", "", "c"), (501, "http://x", "", "c"), (600, "u", "é漢" * 40000, "c")]
