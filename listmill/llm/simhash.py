@@ -15,11 +15,12 @@ repeated rows get the same fingerprint and component; an empty table gives an em
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -126,15 +127,22 @@ STAGES = ((0, 6), (6, WIDE_SEGMENTS))
 LENIENT = 1.0
 
 
-def wide_fingerprint(text: bytes, k: int = 5) -> np.ndarray:
-    """Bits (0 or 1) of the set of k-word shingles of a text, words lower-cased as in fingerprint()."""
+def shingles(text: bytes, k: int = 5) -> np.ndarray:
+    """Sorted 64-bit hashes of the set of k-word shingles of a text, words lower-cased as in fingerprint()."""
     words = text.translate(LOWER).split()
-    shingles = {b" ".join(words)} if len(words) < k else {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
+    found = {b" ".join(words)} if len(words) < k else {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
+
+
+def jaccard(x: np.ndarray, y: np.ndarray) -> float:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / (len(x) + len(y) - both)
+
+
+def wide_fingerprint(h: np.ndarray) -> np.ndarray:
+    """Bits (0 or 1) of a set of shingles()."""
     n = WIDE_BITS * WIDE_SEGMENTS
-    if not words:
-        return np.zeros(n, np.uint8)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, shingles), np.uint64, len(shingles))
-    counts = []
+    size, counts = len(h), []
     for _ in range(-(-n // 64)):
         h = h + np.uint64(0x9E3779B97F4A7C15)
         x = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
@@ -142,7 +150,7 @@ def wide_fingerprint(text: bytes, k: int = 5) -> np.ndarray:
         x ^= x >> np.uint64(31)
         b = x.view(np.uint8).reshape(-1, 8)
         counts.append((np.bincount((b + np.arange(0, 2048, 256)).ravel(), minlength=2048).reshape(8, 256) @ BITS).ravel())
-    return (np.concatenate(counts)[:n] * 2 > len(shingles)).astype(np.uint8)
+    return (np.concatenate(counts)[:n] * 2 > size).astype(np.uint8)
 
 
 def budget(similarity: float) -> int:
@@ -170,24 +178,57 @@ def _near(pairs: DataFrame, prints: DataFrame, most: int) -> DataFrame:
     return common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "seg", "a_bits", "b_bits"), each, "a long, b long")
 
 
+def _exact(pairs: DataFrame, prints: DataFrame, vertices: DataFrame, similarity: float, k: int) -> DataFrame:
+    """Of pairs a, b those whose sets of shingles have at least this Jaccard similarity; only the texts of these pairs are fetched."""
+    pairs = common.cut(pairs)
+    ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+    sets = vertices.join(ids, "id", "left_semi").select("id", "set")
+    texts = common.stored(prints.select("set", "z").join(sets, "set").groupBy("id").agg(F.first("z").alias("z")), "simhash-wide-texts")
+    a, b = (texts.select(F.col("id").alias(x), F.col("z").alias(f"{x}_z")) for x in "ab")
+
+    def each(batch):
+        unpack = zstandard.ZstdDecompressor()
+        of = lru_cache(64)(lambda z: shingles(unpack.decompress(z), k))
+        near = [jaccard(of(x.as_py()), of(y.as_py())) >= similarity for x, y in zip(batch.column(2), batch.column(3), strict=True)]
+        yield pa.record_batch([c.filter(pa.array(near, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
+
+    return common.cut(common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "a_z", "b_z"), each, "a long, b long"))
+
+
 def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> DataFrame:
-    """doc_id, component_id of every row: groups linked by a similarity of their sets of k-word shingles of at least about `similarity`.
+    """doc_id, component_id of every row: groups linked by a similarity of their sets of k-word shingles of at least `similarity`.
 
+    Fingerprints find candidates only: a link is what the Jaccard similarity of the two sets themselves allows.
     Buckets hold the fingerprints that share a segment. First each is compared with its bucket's least one, which joins large groups at a
     cost linear in them; then, in buckets that still hold several groups, all but the largest group's members are compared with
     those of other groups. So no two of one group are compared for nothing, and no pair of a bucket that could link two groups is left out.
     """
+    return _similar(docs, similarity, k).select("doc_id", "component_id")
+
+
+def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
+    """similar_groups(), and text_key (a hash of the text) of every row."""
     n = WIDE_BITS * WIDE_SEGMENTS
     powers = 1 << np.arange(WIDE_BITS)
 
     def each(batch):
-        bits = np.array([wide_fingerprint(t.as_py(), k) for t in batch.column(1)], np.uint8).reshape(-1, n)
+        press, rows = zstandard.ZstdCompressor(level=1), []
+        for t in batch.column(1):
+            text = t.as_py()
+            h = shingles(text, k)
+            rows.append((xxhash.xxh3_64_intdigest(h.tobytes()), wide_fingerprint(h), press.compress(text)))
+        sets, bits, z = zip(*rows, strict=True)
+        bits = np.array(bits, np.uint8).reshape(-1, n)
         segs = bits.reshape(-1, WIDE_SEGMENTS, WIDE_BITS) @ powers
-        packed = np.packbits(bits, axis=1)
-        yield pa.record_batch({"doc_id": batch.column(0).cast(pa.int64()), "bits": pa.array([x.tobytes() for x in packed], pa.binary()), "segs": pa.array(list(segs.astype(np.int32)), pa.list_(pa.int32()))})
-
-    prints = common.stored(common.mapped(common.docs_of(docs), each, "doc_id long, bits binary, segs array<int>"), "simhash-wide")
-    one = common.stored(prints.groupBy("bits").agg(F.min("doc_id").alias("id"), F.min("segs").alias("segs")), "simhash-wide-distinct")
+        packed = pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())
+        made = [np.array(sets, np.uint64).view(np.int64), packed, pa.array(list(segs.astype(np.int32)), pa.list_(pa.int32())), pa.array(z, pa.binary())]
+        yield pa.record_batch([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(made[0]), *made[1:]], names=["doc_id", "text_key", "set", "bits", "segs", "z"])
+
+    schema = "doc_id long, text_key long, set long, bits binary, segs array<int>, z binary"
+    prints = common.stored(common.mapped(common.docs_of(docs, F.xxhash64("text").alias("text_key")), each, schema), "simhash-wide")
+    # vertices are distinct sets, numbered by their smallest doc_id: one doc_id may have several texts
+    sets = prints.groupBy("set").agg(F.min("doc_id").alias("first"), F.first("bits").alias("bits"), F.first("segs").alias("segs"))
+    one = common.stored(sets.orderBy(F.asc_nulls_last("first"), "set").withColumn("id", F.monotonically_increasing_id()), "simhash-wide-distinct")
     keyed = one.select("id", F.posexplode("segs").alias("seg", "value"))
     sizes = keyed.groupBy("seg", "value").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
     busy = common.stored(keyed.join(sizes, ["seg", "value"]).select("seg", "value", "id", "least"), "simhash-wide-busy")
@@ -197,7 +238,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> Data
     for since, until in STAGES:  # a few segments join most of a large group; later ones add only pairs that aren't in one group yet
         star = held.where((F.col("group") != F.col("least_group")) & F.col("seg").between(since, until - 1))
         star = star.groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.min("seg").alias("seg"))
-        found = common.cut(_near(star, only, most))
+        found = _exact(_near(star, only, most), prints, one, similarity, k)
         links = found if links is None else links.unionByName(found)
         reached = components(links)
         named = [reached.select(F.col("node").alias(n), F.col("component").alias(f"{n}_component")) for n in ("id", "least")]
@@ -208,12 +249,13 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> Data
     x, y = several.where(F.col("group") != F.col("main")).alias("x"), several.alias("y")
     across = x.join(y, (F.col("x.seg") == F.col("y.seg")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.group") != F.col("y.group")))
     across = across.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.min("x.seg").alias("seg"))
-    links = links.unionByName(_near(across, only, most))
-    of = one.join(components(links), one.id == F.col("node"), "left").select("bits", F.coalesce("component", "id").alias("component_id"))
-    return prints.select("doc_id", "bits").join(common.stored(of, "simhash-wide-components"), "bits").select("doc_id", "component_id")
+    links = links.unionByName(_exact(_near(across, only, most), prints, one, similarity, k))
+    of = one.join(components(links), one.id == F.col("node"), "left").select("set", F.coalesce("component", "id").alias("component"))
+    of = of.join(one.select(F.col("id").alias("component"), F.col("first").alias("component_id")), "component").select("set", "component_id")
+    return prints.select("doc_id", "text_key", "set").join(common.stored(of, "simhash-wide-components"), "set").drop("set")
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> DataFrame:
     """docs with one document of each group of similar ones, that with the smallest doc_id; rows that repeat that doc_id stay."""
-    gone = similar_groups(docs, similarity, k).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs.doc_id == gone.gone, "left_anti")
+    gone = _similar(docs, similarity, k).where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("gone"), "text_key").distinct()
+    return docs.join(gone, (docs.doc_id == gone.gone) & (F.xxhash64(docs.text) == gone.text_key), "left_anti")

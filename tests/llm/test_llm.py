@@ -244,6 +244,37 @@ def test_similar_groups(spark):
     assert simhash.one_of_each(frame(spark, rows)).count() == 1 + 20 + 2
 
 
+def shingle_sets(rows):
+    out = {}
+    for i, t, _ in rows:
+        w = t.lower().split()
+        out[i] = {tuple(w[j : j + 5]) for j in range(len(w) - 4)}
+    return out
+
+
+def with_changes(rnd, words, n, changes):
+    """Two texts of n words, the second with some of the words replaced, not near to each other."""
+    a = rnd.choices(words, k=n)
+    b = list(a)
+    for c in range(changes):
+        b[5 + c * (n - 10) // changes] = f"new{rnd.random()}"
+    return " ".join(a), " ".join(b)
+
+
+def test_no_links_below_the_similarity(spark):
+    """Pairs at 0.75 to 0.8 stay apart, and so do the neighbours of two texts that share a doc_id."""
+    rnd = random.Random(10)
+    words = ["".join(rnd.choices("abcdefghij", k=6)) for _ in range(5000)]
+    rows = [(2 * i + j, t, "a") for i in range(150) for j, t in enumerate(with_changes(rnd, words, 300, 7 + i % 2))]
+    sets = shingle_sets(rows)
+    assert all(0.75 < len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) < 0.8 for i in range(0, 300, 2))
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame(spark, rows)).collect()}
+    assert all(i == c for i, c in got.items())
+    (a, b), (c, d) = with_changes(rnd, words, 300, 1), with_changes(rnd, words, 300, 1)
+    kept = simhash.one_of_each(frame(spark, [(1, a, "a"), (5, b, "a"), (5, c, "a"), (7, d, "a")])).collect()
+    assert {(r.doc_id, r.text) for r in kept} == {(1, a), (5, c)}
+
+
 def test_targets_by_repeated_sharing(spark):
     rnd = random.Random(3)
     for _ in range(3):
