@@ -23,6 +23,7 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from ..operators.components import components
 from . import common
@@ -117,14 +118,17 @@ def groups(docs: DataFrame, k: int = 3, distance: int = 2) -> DataFrame:
 # Similarity of 0.8 and the like takes wider fingerprints: at a Jaccard similarity of s, fingerprints of sets differ in a share of
 # arccos(2 s / (1 + s)) / pi of their bits (0.15 at 0.8), and that many of 64 bits can't be told from chance in a few segments.
 
-#: Bits of a segment, and segments; a pair at a similarity of 0.8 shares one of them with a probability of 0.93, at 0.85 of 0.99.
-WIDE_BITS, WIDE_SEGMENTS = 22, 93
+#: Bits of a segment, segments, and arrangements of the same bits that are cut into segments each: a pair at a similarity of 0.8 shares
+#: one of the 279 segments with a probability of 0.9995.
+WIDE_BITS, WIDE_SEGMENTS, ARRANGEMENTS = 22, 93, 3
 #: Segments of the chain that is checked from a shared segment on before the whole fingerprints are.
 CHAIN = 8
-#: Segments whose buckets are compared with their least members in one go.
-STAGES = ((0, 6), (6, WIDE_SEGMENTS))
-#: Standard deviations added to the expected difference, so that pairs at the very threshold are found rather than missed.
-LENIENT = 1.0
+#: Keys of buckets that are compared with their least members in one go, from and to: six segments, then all.
+STAGES = ((0, (6 << WIDE_BITS) - 1), (-(1 << 63), (1 << 63) - 1))
+#: Standard deviations added to the expected difference, so that pairs at the very threshold are found; what else they let in goes by its exact similarity.
+LENIENT = 4.0
+#: Majority bits of small sets differ by more than arccos() tells, so sets of up to so many shingles also meet by shingles, which is exact.
+SMALL = 32
 
 
 def shingles(text: bytes, k: int = 5) -> np.ndarray:
@@ -153,29 +157,74 @@ def wide_fingerprint(h: np.ndarray) -> np.ndarray:
     return (np.concatenate(counts)[:n] * 2 > size).astype(np.uint8)
 
 
-def budget(similarity: float) -> int:
-    """Most bits that wide fingerprints of texts at this Jaccard similarity may differ in."""
+def arrangement(i: int) -> np.ndarray:
+    """The order of a fingerprint's bits that is cut into segments; that of 0 is their own."""
     n = WIDE_BITS * WIDE_SEGMENTS
+    return np.random.default_rng(i).permutation(n) if i else np.arange(n)
+
+
+def budget(similarity: float, n: int = WIDE_BITS * WIDE_SEGMENTS) -> int:
+    """Most bits of n that fingerprints of texts at this Jaccard similarity may differ in."""
     share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     return int(n * share + LENIENT * (n * share * (1 - share)) ** 0.5)
 
 
 def _near(pairs: DataFrame, prints: DataFrame, most: int) -> DataFrame:
-    """Of pairs a, b, seg (a segment they share) those whose fingerprints differ in at most `most` bits."""
+    """Of pairs a, b, key (of a bucket they share) those that share a shingle's bucket, or whose fingerprints differ in at most `most` bits."""
     a, b = (prints.select(F.col("id").alias(x), F.col("bits").alias(f"{x}_bits")) for x in "ab")
+    orders = np.array([arrangement(i) for i in range(ARRANGEMENTS)])
 
     def each(batch):
-        cols = [batch.column(i) for i in range(3)]
+        key = np.asarray(batch.column(2))
+        seg = np.maximum(key, 0) >> WIDE_BITS
         x, y = (np.unpackbits(np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)[:, : WIDE_BITS * WIDE_SEGMENTS] for i in (3, 4))
-        differ = (x ^ y).reshape(batch.num_rows, WIDE_SEGMENTS, WIDE_BITS).sum(2)
-        ring = (np.asarray(cols[2])[:, None] + np.arange(CHAIN)) % WIDE_SEGMENTS
-        grown = np.cumsum(np.take_along_axis(differ, ring, axis=1), axis=1)
-        # the shared segment may stand anywhere on a good chain, so the budget is that of the chain with the slack of a few segments
-        chained = (grown <= np.arange(1, CHAIN + 1) * most / WIDE_SEGMENTS + 4 * np.sqrt(np.arange(1, CHAIN + 1) * most / WIDE_SEGMENTS)).all(axis=1)
-        near = chained & (differ.sum(1) <= most)
-        yield pa.record_batch([c.filter(pa.array(near)) for c in cols[:2]], names=["a", "b"])
+        bits = x ^ y
+        whole = bits.sum(1, dtype=np.int64)
+        near = key < 0
+        for i in range(ARRANGEMENTS):
+            at = np.flatnonzero((key >= 0) & (seg // WIDE_SEGMENTS == i) & (whole <= most))
+            differ = bits[at][:, orders[i]].reshape(len(at), WIDE_SEGMENTS, WIDE_BITS).sum(2)
+            ring = (seg[at, None] % WIDE_SEGMENTS + np.arange(CHAIN)) % WIDE_SEGMENTS
+            grown = np.cumsum(np.take_along_axis(differ, ring, axis=1), axis=1)
+            # the shared segment may stand anywhere on a good chain, so the budget is that of the chain with the slack of a few segments
+            near[at] = (grown <= np.arange(1, CHAIN + 1) * most / WIDE_SEGMENTS + 4 * np.sqrt(np.arange(1, CHAIN + 1) * most / WIDE_SEGMENTS)).all(axis=1)
+        yield pa.record_batch([c.filter(pa.array(near)) for c in batch.columns[:2]], names=["a", "b"])
+
+    return common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "key", "a_bits", "b_bits"), each, "a long, b long")
 
-    return common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "seg", "a_bits", "b_bits"), each, "a long, b long")
+
+def _words(prints: DataFrame) -> DataFrame:
+    """id, words: the fingerprint's bits as longs, for SQL."""
+
+    def each(batch):
+        bits = np.frombuffer(b"".join(batch.column(1).to_pylist()), "<i8")
+        at = np.arange(batch.num_rows + 1, dtype=np.int32) * (len(bits) // batch.num_rows)
+        yield pa.record_batch([batch.column(0), pa.ListArray.from_arrays(pa.array(at), pa.array(bits))], names=["id", "words"])
+
+    return common.mapped(prints.select("id", "bits"), each, "id long, words array<long>")
+
+
+def _segment_keys(one: DataFrame, i: int) -> DataFrame:
+    """key, id, n, sketch: the segments of arrangement i of every fingerprint."""
+    order, powers = arrangement(i), 1 << np.arange(WIDE_BITS)
+    high = (i * WIDE_SEGMENTS + np.arange(WIDE_SEGMENTS, dtype=np.int64)) << WIDE_BITS
+
+    def each(batch):
+        bits = np.unpackbits(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)[:, order]
+        keys = (bits.reshape(-1, WIDE_SEGMENTS, WIDE_BITS) @ powers) | high
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * WIDE_SEGMENTS), pa.array(keys.ravel()))
+        yield pa.record_batch([*batch.columns[:3], lists], names=["id", "n", "sketch", "keys"])
+
+    return common.mapped(one.select("id", "n", "sketch", "bits"), each, "id long, n int, sketch long, keys array<long>").select(F.explode("keys").alias("key"), "id", "n", "sketch")
+
+
+def _shingle_keys(one: DataFrame, similarity: float) -> DataFrame:
+    """The same for small sets: their rarest shingles, so many that two sets at the similarity share one of them. Keys are negative."""
+    each = one.where("few is not null").select("id", "n", "sketch", F.explode("few").alias("h"))
+    often = each.groupBy("h").agg(F.count("*").alias("often"))
+    ranked = each.join(often, "h").withColumn("rank", F.row_number().over(W.partitionBy("id").orderBy("often", "h")))
+    first = ranked.where(F.col("rank") <= F.col("n") - F.ceil(F.col("n") * similarity - 1e-9) + 1)
+    return first.select(F.col("h").bitwiseOR(F.lit(-(1 << 63))).alias("key"), "id", "n", "sketch")
 
 
 def _exact(pairs: DataFrame, prints: DataFrame, vertices: DataFrame, similarity: float, k: int) -> DataFrame:
@@ -199,7 +248,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> Data
     """doc_id, component_id of every row: groups linked by a similarity of their sets of k-word shingles of at least `similarity`.
 
     Fingerprints find candidates only: a link is what the Jaccard similarity of the two sets themselves allows.
-    Buckets hold the fingerprints that share a segment. First each is compared with its bucket's least one, which joins large groups at a
+    Buckets hold the fingerprints that share a segment, and the small sets that share one of their rarest shingles. First each is compared with its bucket's least one, which joins large groups at a
     cost linear in them; then, in buckets that still hold several groups, all but the largest group's members are compared with
     those of other groups. So no two of one group are compared for nothing, and no pair of a bucket that could link two groups is left out.
     """
@@ -208,47 +257,63 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> Data
 
 def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
     """similar_groups(), and text_key (a hash of the text) of every row."""
-    n = WIDE_BITS * WIDE_SEGMENTS
-    powers = 1 << np.arange(WIDE_BITS)
+    largest = int(SMALL / similarity)
 
     def each(batch):
         press, rows = zstandard.ZstdCompressor(level=1), []
         for t in batch.column(1):
             text = t.as_py()
             h = shingles(text, k)
-            rows.append((xxhash.xxh3_64_intdigest(h.tobytes()), wide_fingerprint(h), press.compress(text)))
-        sets, bits, z = zip(*rows, strict=True)
-        bits = np.array(bits, np.uint8).reshape(-1, n)
-        segs = bits.reshape(-1, WIDE_SEGMENTS, WIDE_BITS) @ powers
-        packed = pa.array([x.tobytes() for x in np.packbits(bits, axis=1)], pa.binary())
-        made = [np.array(sets, np.uint64).view(np.int64), packed, pa.array(list(segs.astype(np.int32)), pa.list_(pa.int32())), pa.array(z, pa.binary())]
-        yield pa.record_batch([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(made[0]), *made[1:]], names=["doc_id", "text_key", "set", "bits", "segs", "z"])
-
-    schema = "doc_id long, text_key long, set long, bits binary, segs array<int>, z binary"
+            bits = np.packbits(wide_fingerprint(h)).tobytes()
+            few = h.view(np.int64).tolist() if len(h) <= largest else None
+            rows.append((xxhash.xxh3_64_intdigest(h.tobytes()), len(h), int.from_bytes(bits[:8], "little", signed=True), bits, few, press.compress(text)))
+        sets, n, sketch, bits, few, z = zip(*rows, strict=True)
+        made = [np.array(sets, np.uint64).view(np.int64), pa.array(n, pa.int32()), pa.array(sketch, pa.int64()), pa.array(bits, pa.binary()), pa.array(few, pa.list_(pa.int64())), pa.array(z, pa.binary())]
+        yield pa.record_batch([batch.column(0).cast(pa.int64()), batch.column(2), pa.array(made[0]), *made[1:]], names=["doc_id", "text_key", "set", "n", "sketch", "bits", "few", "z"])
+
+    schema = "doc_id long, text_key long, set long, n int, sketch long, bits binary, few array<long>, z binary"
     prints = common.stored(common.mapped(common.docs_of(docs, F.xxhash64("text").alias("text_key")), each, schema), "simhash-wide")
     # vertices are distinct sets, numbered by their smallest doc_id: one doc_id may have several texts
-    sets = prints.groupBy("set").agg(F.min("doc_id").alias("first"), F.first("bits").alias("bits"), F.first("segs").alias("segs"))
+    sets = prints.groupBy("set").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "sketch", "bits", "few")))
     one = common.stored(sets.orderBy(F.asc_nulls_last("first"), "set").withColumn("id", F.monotonically_increasing_id()), "simhash-wide-distinct")
-    keyed = one.select("id", F.posexplode("segs").alias("seg", "value"))
-    sizes = keyed.groupBy("seg", "value").agg(F.count("*").alias("n"), F.min("id").alias("least")).where("n > 1")
-    busy = common.stored(keyed.join(sizes, ["seg", "value"]).select("seg", "value", "id", "least"), "simhash-wide-busy")
+    parts = []
+    for keyed in (*(_segment_keys(one, i) for i in range(ARRANGEMENTS)), _shingle_keys(one, similarity)):
+        least = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("least")).where("c > 1").drop("c")
+        parts.append(common.stored(keyed.join(least, "key"), "simhash-wide-keys"))
+        common.release()
+    shared = reduce(DataFrame.unionByName, parts)
+    heads = shared.where("id = least").select("key", F.col("n").alias("least_n"), F.col("sketch").alias("least_sketch"))
+    busy = common.stored(shared.join(heads, "key"), "simhash-wide-busy")
     only = one.select("id", "bits")
-    most = budget(similarity)
+    most, most_sketch = budget(similarity), budget(similarity, 64)
+
+    def likely(key: Column, n: Column, m: Column, x: Column, y: Column) -> Column:
+        """Sizes allow the similarity, and 64 bits of the fingerprints don't tell against it."""
+        return (F.least(n, m) / F.greatest(n, m) >= similarity) & ((key < 0) | (_differs(x, y) <= most_sketch))
+
     links, held = None, busy.withColumns({"group": F.col("id"), "least_group": F.col("least")})
     for since, until in STAGES:  # a few segments join most of a large group; later ones add only pairs that aren't in one group yet
-        star = held.where((F.col("group") != F.col("least_group")) & F.col("seg").between(since, until - 1))
-        star = star.groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.min("seg").alias("seg"))
+        star = held.where((F.col("group") != F.col("least_group")) & F.col("key").between(since, until) & likely(F.col("key"), F.col("n"), F.col("least_n"), F.col("sketch"), F.col("least_sketch")))
+        star = star.groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.min("key").alias("key"))
         found = _exact(_near(star, only, most), prints, one, similarity, k)
         links = found if links is None else links.unionByName(found)
         reached = components(links)
         named = [reached.select(F.col("node").alias(n), F.col("component").alias(f"{n}_component")) for n in ("id", "least")]
         held = busy.join(named[0], "id", "left").join(named[1], "least", "left").select(*busy.columns, F.coalesce("id_component", "id").alias("group"), F.coalesce("least_component", "least").alias("least_group"))
-    per = held.groupBy("seg", "value", "group").agg(F.count("*").alias("n"))
-    mixed = per.groupBy("seg", "value").agg(F.max_by("group", F.struct("n", "group")).alias("main"), F.count("*").alias("groups")).where("groups > 1").select("seg", "value", "main")
-    several = common.stored(held.join(common.stored(mixed, "simhash-wide-mixed"), ["seg", "value"]), "simhash-wide-several")
+    held = common.stored(held.select("key", "id", "n", "sketch", "group"), "simhash-wide-held")
+    per = held.groupBy("key", "group").agg(F.count("*").alias("c"))
+    mixed = per.groupBy("key").agg(F.max_by("group", F.struct("c", "group")).alias("main"), F.count("*").alias("groups"), F.sum("c").alias("c")).where("groups > 1 and c > 2").select("key", "main")  # two were compared already
+    several = common.stored(held.join(common.stored(mixed, "simhash-wide-mixed"), "key"), "simhash-wide-several")
+    words = _words(only.join(several.select("id").distinct(), "id", "left_semi"))
+    several = common.stored(several.join(words, "id"), "simhash-wide-several-words")
+    common.release()
     x, y = several.where(F.col("group") != F.col("main")).alias("x"), several.alias("y")
-    across = x.join(y, (F.col("x.seg") == F.col("y.seg")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.group") != F.col("y.group")))
-    across = across.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.min("x.seg").alias("seg"))
+    near = likely(F.col("x.key"), F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch"))
+    # in a large group of texts just below the similarity most pairs share a segment: whole fingerprints are compared before a pair is a row
+    apart = reduce(Column.__add__, (_differs(F.col("x.words")[i], F.col("y.words")[i]) for i in range(-(-WIDE_BITS * WIDE_SEGMENTS // 64))))
+    near = near & ((F.col("x.key") < 0) | (apart <= most))
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.group") != F.col("y.group")) & near)
+    across = across.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.min("x.key").alias("key"))
     links = links.unionByName(_exact(_near(across, only, most), prints, one, similarity, k))
     of = one.join(components(links), one.id == F.col("node"), "left").select("set", F.coalesce("component", "id").alias("component"))
     of = of.join(one.select(F.col("id").alias("component"), F.col("first").alias("component_id")), "component").select("set", "component_id")

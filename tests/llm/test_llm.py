@@ -275,6 +275,25 @@ def test_no_links_below_the_similarity(spark):
     assert {(r.doc_id, r.text) for r in kept} == {(1, a), (5, c)}
 
 
+def test_near_copies_at_the_similarity_are_found(spark):
+    """Against brute force: pairs at 0.80 to 0.86, each only linked to each other; all of short texts, 99 of 100 of long ones."""
+    rnd = random.Random(11)
+    words = ["".join(rnd.choices("abcdefghij", k=6)) for _ in range(5000)]
+    made = [with_changes(rnd, words, n, c) for n, c in ((300, 5), (300, 6), (220, 4), (520, 11)) for _ in range(100)]
+    for n in (8, 9, 10, 11, 12, 16, 24, 30):  # a word more at the end; 4 of 5 shingles are the least
+        for _ in range(30):
+            a = rnd.choices(words, k=n)
+            made.append((" ".join(a), " ".join([*a, rnd.choice(words)])))
+    rows = [(2 * i + j, t, "a") for i, two in enumerate(made) for j, t in enumerate(two)]
+    sets = shingle_sets(rows)
+    true = [i for i in range(0, len(rows), 2) if len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) >= 0.8]
+    assert sum(i < 800 for i in true) >= 390 and sum(i >= 800 for i in true) == 240
+    got = {r.doc_id: r.component_id for r in simhash.similar_groups(frame(spark, rows)).collect()}
+    missed = [i for i in true if got[i + 1] != i]
+    assert not [i for i in missed if i >= 800] and len(missed) <= 4
+    assert all(got[i] == i for i in range(0, len(rows), 2))
+
+
 def test_targets_by_repeated_sharing(spark):
     rnd = random.Random(3)
     for _ in range(3):
