@@ -2,31 +2,64 @@
 
 from __future__ import annotations
 
+import re
 import uuid
+import weakref
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-#: Used only where the session names no shared folder, as in local tests.
+#: Used only by a session in one JVM that names no shared folder, as in local tests.
 LOCAL = "/tmp/checkpoints/listmill"
+#: Shuffle files go when the execution that wrote them ends.
+SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, else a local folder."""
+    """spark.checkpoint.dir; a local folder only where all runs in one JVM."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not found and not re.match(r"local(\[|$)", spark.sparkContext.master or ""):
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(found or LOCAL)
     return (found or LOCAL).rstrip("/")
 
 
+@contextmanager
+def swept(spark: SparkSession) -> Iterator[None]:
+    """Inside, shuffle files are deleted as soon as what an execution returns is written: no later one reads them."""
+    before = spark.conf.get(SWEEP, "false")
+    spark.conf.set(SWEEP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(SWEEP, before)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """checkpoint(): the rows are written once to the shared folder, so lost executors cost no recomputing of what came before."""
     shared_dir(df.sparkSession)
-    return df.checkpoint()
+    with swept(df.sparkSession):
+        return df.checkpoint()
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Like cut(), as a table: what reads it starts from a plain scan, so Spark can choose exchanges, split skewed ones and prune columns."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with swept(spark):
+        df.write.parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    _PATHS[table] = path
+    return table
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes what stored() wrote. Only for tables whose readers have themselves been stored or cut."""
+    for table in tables:
+        if path := _PATHS.pop(table, None):
+            spark = table.sparkSession
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
