@@ -9,19 +9,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.shared import cut, shared_dir, stored  # noqa: F401  operators take them from here
+from ..sources.shared import cut, dropped, shared_dir, stored  # noqa: F401  operators take them from here
 
 #: Words are what lies between these bytes: U+0020 and U+0009 to U+000D. bytes.split() parts at just these.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows that a function over batches gets at once, at most.
+SLICE = 1_000
+
+
 def mapped(df: DataFrame, f, schema: str) -> DataFrame:
-    """mapInArrow with a function from one batch to rows as columns (dict of lists or arrays), or None."""
+    """mapInArrow with a function from one batch of at most SLICE rows to batches."""
 
     def each(batches: Iterator[pa.RecordBatch], _schema=None) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                yield from f(batch)
+            for at in range(0, batch.num_rows, SLICE):
+                yield from f(batch.slice(at, SLICE))
 
     return df.mapInArrow(each, schema)
 

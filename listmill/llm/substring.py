@@ -73,7 +73,7 @@ class Automaton:
     def statistics(self, words: list, window: int):
         """For each word: the length of the longest string that ends at it and is in the automaton, and the earliest end of the window that ends at it (None if it isn't in it)."""
         nxt, link, length, first = self.next, self.link, self.length, self.first
-        state, size = 0, 0
+        state, size, at = 0, 0, 0  # at: the state of the last `window` words, once there are so many
         for w in words:
             while state and w not in nxt[state]:
                 state = link[state]
@@ -83,17 +83,16 @@ class Automaton:
             if size < window:
                 yield size, None
                 continue
-            at = state
+            at = state if size == window else nxt[at][w]
             while length[link[at]] >= window:
                 at = link[at]
             yield size, first[at]
-            state, size = at, window  # longer matches tell no more about windows
 
 
-def windows_seen_before(kind: Kind, variants: list[tuple[bytes, int, int]]) -> list[list[tuple[int, int]]]:
+def windows_seen_before(kind: Kind, variants: list[tuple[bytes, int]]) -> list[list[tuple[int, int]]]:
     """A resolver: for each variant the windows whose words also start at an earlier place."""
     reference, at, sequences = Automaton(), 0, []
-    for seg, *_ in variants:
+    for seg, _ in variants:
         words = seg.split()
         sequences.append((words, at))
         reference.add(words, at)

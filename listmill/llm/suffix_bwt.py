@@ -128,10 +128,10 @@ def interleaved(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarra
     return order, starts
 
 
-def windows_that_repeat(kind: Kind, variants: list[tuple[bytes, int, int]]) -> list[list[tuple[int, int]]]:
+def windows_that_repeat(kind: Kind, variants: list[tuple[bytes, int]]) -> list[list[tuple[int, int]]]:
     """A resolver: for each variant the windows whose bytes also stand at another place of the variants."""
     shards, strings, load = [], [], 0
-    for seg, *_ in variants:
+    for seg, _ in variants:
         strings.append(seg)
         load += len(seg)
         if load >= SHARD:
@@ -147,7 +147,7 @@ def windows_that_repeat(kind: Kind, variants: list[tuple[bytes, int, int]]) -> l
     places = np.concatenate([s.order + b for s, b in zip(shards, np.cumsum([0, *(len(s.order) for s in shards)]), strict=False)])
     flags[places[order[repeat]]] = True
     out, at = [], 0
-    for seg, windows, _ in variants:
+    for seg, windows in variants:
         on = np.concatenate([[False], flags[at : at + windows], [False]])
         edge = np.flatnonzero(on[1:] != on[:-1])
         out.append(list(zip(edge[::2].tolist(), edge[1::2].tolist(), strict=True)))

@@ -77,7 +77,7 @@ def pairs(df):
 @pytest.mark.parametrize("hot", [None, 200])
 def test_suffix_dedup(spark, monkeypatch, hot):
     if hot:
-        monkeypatch.setattr("listmill.llm.repeats.HOT", hot)
+        monkeypatch.setattr("listmill.llm.repeats.HOT_BYTES", hot)
     df = documents(spark)
     got = Counter(map(tuple, suffix_bwt.removed(df, 60, 16).collect()))
     assert got == brute_bytes(pairs(df), 60)
@@ -86,7 +86,7 @@ def test_suffix_dedup(spark, monkeypatch, hot):
 @pytest.mark.parametrize("hot", [None, 30])
 def test_substring_dedup(spark, monkeypatch, hot):
     if hot:
-        monkeypatch.setattr("listmill.llm.repeats.HOT", hot)
+        monkeypatch.setattr("listmill.llm.repeats.HOT_WORDS", hot)
     df = documents(spark, 2)
     got = Counter(map(tuple, substring.removed(df, 10, 4).collect()))
     assert got == brute_words(pairs(df), 10)
@@ -118,7 +118,7 @@ def test_merged_transforms_with_many_shards(monkeypatch, stride):
         base = bytes(rnd.choices(b"abcd \x00", k=80))
         some = [base[(a := rnd.randrange(60)) : a + rnd.randrange(12, 30)].ljust(12, b"z") for _ in range(rnd.randrange(1, 9))]
         found = Counter(s[i : i + 12] for s in some for i in range(len(s) - 11))
-        for s, spans in zip(some, suffix_bwt.windows_that_repeat(kind, [(s, len(s) - 11, 1) for s in some]), strict=True):
+        for s, spans in zip(some, suffix_bwt.windows_that_repeat(kind, [(s, len(s) - 11) for s in some]), strict=True):
             on = {i for a, b in spans for i in range(a, b)}
             assert on == {i for i in range(len(s) - 11) if found[s[i : i + 12]] > 1}
 
