@@ -40,6 +40,12 @@ def company_key(name: Column) -> Column:
     return F.regexp_replace(bare, rf"(?:\s+(?:{LEGAL}))+$", "")
 
 
+def first_known(sources: dict[str, Column], otherwise: str) -> Column:
+    """name, source: the first source that isn't null, in their order."""
+    found = F.coalesce(*(F.when(c.isNotNull(), F.struct(c.alias("name"), F.lit(s).alias("source"))) for s, c in sources.items()))
+    return F.coalesce(found, F.struct(F.lit(otherwise).alias("name"), F.lit("none").alias("source")))
+
+
 def named(name: str | None, names: list[str]) -> bool:
     """Is a name one of some, begins with one that ends in *, or goes on after one at a word's end?"""
     if not name:

@@ -1,4 +1,9 @@
-"""A small grammar of salary labels."""
+"""A small grammar of salary labels: a currency, a period, and bounds where both are known.
+
+label   = amounts [" + " rider]; a rider's numbers don't count
+amounts = amount separator amount | "up to" amount | "from" amount
+amount  = number ["k"], thousands parted by commas; "k" after one of two amounts also holds for the other if that is below 1,000
+"""
 
 from __future__ import annotations
 
@@ -13,30 +18,56 @@ class Salary(NamedTuple):
     period: str | None = None
 
 
-#: Signs that name a currency by themselves, and words of periods.
-SIGNS = (("HK$", "HKD"), ("S$", "SGD"), ("A$", "AUD"), ("NZ$", "NZD"), ("US$", "USD"), ("RM", "MYR"), ("฿", "THB"), ("£", "GBP"), ("€", "EUR"))
-PERIODS = (("Annual", r"per year|per annum|p\.?a\.?|annual(?:ly)?|a year|/ ?year"), ("Monthly", r"per month|p\.?m\.?|monthly|a month|/ ?month"), ("Hourly", r"per hour|p\.?h\.?|hourly|an hour|/ ?hour"), ("Daily", r"per day|daily|a day|/ ?day"), ("Weekly", r"per week|weekly|a week|/ ?week"))
-_AMOUNT = re.compile(r"(\d[\d,]*(?:\.\d+)?)\s*([kK])?")
+#: Marks that name a currency where no Latin letter stands before them, codes, and words of periods.
+MARKS = {"US$": "USD", "S$": "SGD", "HK$": "HKD", "A$": "AUD", "NZ$": "NZD", "฿": "THB", "บาท": "THB", "£": "GBP", "€": "EUR"}
+CODES = ("SGD", "HKD", "THB", "AUD", "NZD", "USD", "GBP", "EUR", "MYR")
+PERIODS = {
+    "Annual": (r"p\.?\s?a\.?", r"per\s+annum", r"per\s+year", "annually", "yearly"),
+    "Monthly": (r"p\.?\s?m\.?", r"per\s+month", "monthly", "ต่อเดือน"),
+    "Hourly": (r"p\.?\s?h\.?", r"per\s+hour", "hourly"),
+    "Weekly": (r"per\s+week", "weekly"),
+    "Daily": (r"per\s+day", "daily"),
+}
+#: Below this, a number beside one in thousands is in thousands too.
+SHORT = 1000
+
+_AMOUNT = r"(\d[\d,]*(?:\.\d+)?)\s*([kK]\b)?"
+_MARK = rf"\s*(?:{'|'.join(map(re.escape, [*MARKS, '$', 'RM', *CODES]))})?\s*"
+_RANGE = re.compile(rf"{_AMOUNT}{_MARK}(?:[-–—~]|to){_MARK}{_AMOUNT}", re.IGNORECASE)
+_PERIOD = {name: re.compile(rf"(?:^|[\s\d,.(])(?:{'|'.join(words)})(?:$|[\s,.;)])") for name, words in PERIODS.items()}
+
+
+def currency(label: str, given: str | None) -> str | None:
+    """The code that came with the label if it is known, else that of a mark, else the one code in it."""
+    if (code := (given or "").strip().upper()) in CODES:
+        return code
+    for mark, code in [*((re.escape(m), c) for m, c in MARKS.items()), ("RM(?![A-Za-z])", "MYR")]:
+        if re.search(rf"(?<![A-Za-z]){mark}", label):
+            return code
+    named = [c for c in CODES if re.search(rf"\b{c}\b", label, re.IGNORECASE)]
+    return named[0] if len(named) == 1 else None
 
 
-def _number(m: re.Match) -> float:
-    return float(m[1].replace(",", "")) * (1000 if m[2] else 1)
+def bounds(amounts: str) -> tuple[float | None, float | None]:
+    found = re.findall(_AMOUNT, amounts)
+    if len(found) == 2 and (m := _RANGE.search(amounts)):
+        found = [m.groups()[:2], m.groups()[2:]]
+        thousands = any(k for _, k in found)
+        low, high = (x * 1000 if k or (thousands and x < SHORT) else x for x, k in ((float(n.replace(",", "")), k) for n, k in found))
+        return (low, high) if low <= high else (None, None)
+    if len(found) == 1:
+        value = float(found[0][0].replace(",", "")) * (1000 if found[0][1] else 1)
+        words = amounts.lower()
+        return (None, value) if re.search(r"\bup\s+to\b", words) else (value, None) if re.search(r"\bfrom\b", words) else (None, None)
+    return None, None
 
 
-def parse(label: str | None, currency: str | None = None) -> Salary:
-    """Both ends only of a rising range; a sign says the currency if the label doesn't come with one."""
-    if not label or not label.strip():
+def parse(label: str | None, given: str | None = None) -> Salary:
+    """Bounds only with a currency and a period; an amount that is neither a rising range nor "up to" or "from" has none."""
+    label = (label or "").strip()
+    if not label:
         return Salary()
-    period = next((name for name, words in PERIODS if re.search(rf"(?<![a-z])(?:{words})(?![a-z])", label.lower())), None)
-    sign = next((code for mark, code in SIGNS if mark in label), None)
-    parts = re.split(r"\s*(?:–|—|-|\bto\b)\s*", re.split(r"\bper\b|\bp\.?[amh]\b|/", label, maxsplit=1)[0].strip())
-    code = (currency or "").strip() or sign
-    amounts = [_AMOUNT.search(p) for p in parts]
-    if len(parts) != 2 or not all(amounts) or re.match(r"(?i)\s*(?:up to|from)\b", label):
-        return Salary(None, None, code, period)
-    low, high = _number(amounts[0]), _number(amounts[1])
-    if amounts[1][2] and not amounts[0][2] and low < 1000:  # the sign for thousands is said once
-        low *= 1000
-    if low > high:
-        return Salary(None, None, code, period)
+    code, words = currency(label, given), label.lower()
+    period = next((name for name, pattern in _PERIOD.items() if pattern.search(words)), None)
+    low, high = bounds(re.split(r"\s\+\s", label, maxsplit=1)[0]) if code and period else (None, None)
     return Salary(low, high, code, period)

@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import unicodedata
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SPACES = r"(?U)[\s\x1c-\x1f]+"
+#: Unicode white space, as Python's str.split() parts at it. Spelled out, it matches several times faster than a Unicode class does.
+SPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+SPACES = f"[{SPACE}]+"
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f of a value that is worked out once, however often f uses it (a projection of its own would be merged with what reads it)."""
+    return F.element_at(F.transform(F.array(value), f), 1)
 
 
 def norm_scalar(c: Column) -> Column:
     """Trimmed of Unicode white space; blank becomes null."""
-    return F.nullif(F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""), F.lit(""))
+    return F.nullif(F.regexp_replace(c, f"^{SPACES}|{SPACES}$", ""), F.lit(""))
 
 
 def collapse(c: Column) -> Column:
@@ -29,9 +38,36 @@ def norm_array(c: Column) -> Column:
     return F.when(F.size(kept) > 0, kept)
 
 
+def _latin() -> str:
+    """Letters whose Unicode name begins with LATIN, as the inside of a character class."""
+    ranges: list[list[int]] = []
+    for i in range(0x30000):
+        if unicodedata.category(chr(i))[0] == "L" and unicodedata.name(chr(i), "").startswith("LATIN "):
+            if ranges and ranges[-1][1] == i - 1:
+                ranges[-1][1] = i
+            else:
+                ranges.append([i, i])
+    return "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in ranges)
+
+
+LATIN = _latin()
+
+
+def matching_text(text: Column) -> Column:
+    """What of a text counts for matching: words without letters of other scripts, one space between them, in lines that have a Latin letter. ASCII texts stay as they are; nothing left is null."""
+    foreign = rf"(?<![^{SPACE}])[^{SPACE}]*?[\p{{L}}&&[^{LATIN}]][^{SPACE}]*"
+    lines = F.transform(F.split(text, "\n"), lambda line: collapse(F.regexp_replace(line, foreign, " ")))
+    kept = F.array_join(F.filter(lines, lambda line: line.rlike(f"[{LATIN}]")), "\n")
+    return F.nullif(F.when(text.rlike(r"^\p{ASCII}*$"), text).otherwise(kept), F.lit(""))
+
+
 def document(title: Column, text: Column) -> Column:
-    """Title and text joined, white space collapsed, lower case; null if there is nothing."""
-    return F.nullif(F.lower(collapse(F.concat_ws(" ", title, text))), F.lit(""))
+    """Title and matching text joined, white space collapsed, lower case; null if there is nothing, or a text without any Latin letter (its title alone would say too little)."""
+
+    def joined(usable: Column) -> Column:
+        return F.when(text.isNull() | usable.isNotNull() | ~text.rlike(f"[^{SPACE}]"), F.nullif(F.lower(collapse(F.concat_ws(" ", title, usable))), F.lit("")))
+
+    return let(matching_text(text), joined)
 
 
 def fingerprint(doc: Column) -> Column:
@@ -40,11 +76,26 @@ def fingerprint(doc: Column) -> Column:
 
 def shingles(doc: Column, k: int = 5) -> Column:
     """Distinct k-word strings of a document whose words one space parts; a document of at most k words is one."""
-    words = F.split(doc, " ")
-    # k shifted copies side by side: each is made once, where a lambda would split the document anew for each shingle
-    shifted = F.arrays_zip(*(F.slice(words, i + 1, F.greatest(F.size(words) - (k - 1), F.lit(0))) for i in range(k)))
-    many = F.array_distinct(F.transform(shifted, lambda x: F.concat_ws(" ", *(x[str(i)] for i in range(k)))))
-    return F.when(F.size(words) <= k, F.array(doc)).otherwise(many)
+
+    def of(words: Column) -> Column:
+        many = F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.concat_ws(" ", *(F.get(words, i + j) for j in range(k))))
+        return F.when(F.size(words) <= k, F.array(F.array_join(words, " "))).otherwise(F.array_distinct(many))
+
+    return let(F.split(doc, " "), of)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def shingle_ids(doc: pd.Series) -> pd.Series:
+    """Sorted distinct ids of a document's shingles: the first 8 bytes of BLAKE2b at that digest size, big-endian and signed."""
+
+    def ids(d: str | None) -> list[int] | None:
+        if d is None:
+            return None
+        words = d.split(" ")
+        found = {d} if len(words) <= 5 else {" ".join(words[i : i + 5]) for i in range(len(words) - 4)}
+        return sorted({int.from_bytes(hashlib.blake2b(x.encode(), digest_size=8).digest(), "big", signed=True) for x in found})
+
+    return doc.map(ids)
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -74,43 +125,37 @@ def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x) if x is not None else None)
 
 
-#: Frequent English words by which a text is taken for English.
-COMMON = frozenset("the of and to in a is for on with as by at from or an be are this that it will you we our your have has not".split())
-LETTERS, FOREIGN, WORDS, SHARE = 200, 0.40, 60, 1 / 15
-_NAMES = {}
-
-
-def script(ch: str) -> str:
-    """The first word of a letter's Unicode name."""
-    if ch not in _NAMES:
-        _NAMES[ch] = unicodedata.name(ch, "UNKNOWN").split()[0].title()
-    return _NAMES[ch]
-
-
-def language_reason(text: str | None) -> str | None:
-    """Why a text isn't taken for English, or None: mostly letters of other scripts, or hardly any common English word."""
-    if not text:
-        return None
-    if text.isascii():
-        foreign, letters = {}, 0
-    else:
-        foreign, letters = {}, 0
-        for ch in text:
-            if ch.isalpha():
-                letters += 1
-                if not ch.isascii() and (name := script(ch)) != "Latin":
-                    foreign[name] = foreign.get(name, 0) + 1
-    if letters >= LETTERS and sum(foreign.values()) >= FOREIGN * letters:
-        return f"{max(sorted(foreign), key=foreign.get)} script"
-    words = re.findall(r"[a-z]+", text.lower())
-    if len(words) >= WORDS and sum(w in COMMON for w in words) < SHARE * len(words):
-        return "few common English words"
-    return None
-
-
-@F.pandas_udf(T.StringType())
-def not_english(s: pd.Series) -> pd.Series:
-    return s.map(language_reason)
+#: Frequent English words by which a text is taken for English, and what the reasons say.
+COMMON = (
+    "the", "and", "of", "to", "in", "a", "for", "with", "on", "is", "as", "or", "you", "our", "we", "be", "by", "will", "are", "an", "at", "this", "that", "from", "your", "have",
+    "work", "experience", "team", "role", "skills", "years", "ability", "business", "support",
+)
+NOT_ENGLISH, FEW_WORDS = "JD not in English: %d%% %s letters", "JD not in English: few common English words"
+#: Scripts that are named, and thresholds: letters, share of foreign ones, words, share of common ones.
+SCRIPTS = (("Thai", r"\p{IsThai}"), ("Japanese", r"\p{IsHiragana}\p{IsKatakana}\u30fc\uff70"), ("Korean", r"\p{IsHangul}"), ("Chinese", r"\p{IsHan}"), ("Arabic", r"\p{IsArabic}"), ("Cyrillic", r"\p{IsCyrillic}"))
+LETTERS, FOREIGN, WORDS, SHARE = 200, (2, 5), 60, 15
+
+
+def not_english(text: Column) -> Column:
+    """Why a text isn't taken for English, or null: mostly letters of other scripts, or hardly any common English word."""
+    text = F.coalesce(text, F.lit(""))
+    named = "".join(x for _, x in SCRIPTS)
+
+    def by_script(both: Column) -> Column:
+        letters, foreign = both["letters"], both["foreign"]
+        counts = [F.struct(F.length(F.regexp_replace(foreign, f"[^{x}]", "")).alias("n"), (-F.length(F.regexp_extract(foreign, f"^[^{x}]*", 0))).alias("at"), F.lit(name).alias("name")) for name, x in SCRIPTS]
+        rest = F.regexp_replace(foreign, f"[{named}]", "")
+        counts.append(F.struct(F.length(rest).alias("n"), (-F.length(F.regexp_extract(foreign, f"^[{named}]*", 0))).alias("at"), F.lit("non-Latin").alias("name")))
+        most = F.element_at(F.sort_array(F.array(*counts), asc=False), 1)["name"]
+        enough = (letters >= LETTERS) & (F.length(foreign) * FOREIGN[1] >= letters * FOREIGN[0])
+        return F.when(enough, F.format_string(NOT_ENGLISH, F.floor(F.length(foreign) * 100 / letters).cast("int"), most))
+
+    letters = F.regexp_replace(text, r"[^\p{L}]", "")
+    script = let(F.struct(F.length(letters).alias("letters"), F.regexp_replace(letters, f"[{LATIN}\\x{{ff21}}-\\x{{ff3a}}\\x{{ff41}}-\\x{{ff5a}}]", "").alias("foreign")), by_script)
+    common = F.regexp_count(text, F.lit(r"(?i)(?<![A-Za-z])(?:" + "|".join(COMMON) + ")(?![A-Za-z])"))
+    words = F.regexp_count(text, F.lit("[A-Za-z]+"))
+    few = let(F.struct(words.alias("n"), common.alias("common")), lambda x: F.when((x["n"] >= WORDS) & (x["common"] * SHARE < x["n"]), F.lit(FEW_WORDS)))
+    return F.coalesce(F.when(~text.rlike(r"^\p{ASCII}*$"), script), few)
 
 
 def search(expression: str, of: Column, longest: int = 2000, deepest: int = 40) -> Column:

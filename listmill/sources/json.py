@@ -44,6 +44,13 @@ def content_hash(value) -> str:
     return hashlib.sha256(canonical(value).encode()).hexdigest()
 
 
+def kind(value: Column) -> Column:
+    """object, array, string, number, boolean or null of a JSON text, by its first character."""
+    first = F.substring(F.ltrim(value), 1, 1)
+    known = F.when(first == "{", "object").when(first == "[", "array").when(first == '"', "string").when(first.isin("t", "f"), "boolean").when(first == "n", "null")
+    return F.when(value.isNotNull(), F.coalesce(known, F.lit("number")))
+
+
 def field_of_each(array: Column, name: str) -> Column:
     """A field of each struct of an array, null-safe."""
     return F.transform(array, lambda x: x[name])

@@ -119,6 +119,40 @@ def linkedin() -> dict[str, Column]:
     }
 
 
+#: What is read of each family's payloads.
+PAYLOADS = {
+    "mcf": (
+        "title string, description string, postedCompany struct<uen: string, name: string, companyUrl: string, employeeCount: int>, hiringCompany struct<name: string>, "
+        "metadata struct<newPostingDate: date, expiryDate: date, isPostedOnBehalf: boolean, totalNumberOfView: int>, status struct<jobStatus: string>, "
+        "salary struct<minimum: double, maximum: double, type: struct<salaryType: string>>, minimumYearsExperience int, categories array<struct<category: string>>, "
+        "employmentTypes array<struct<employmentType: string>>, positionLevels array<struct<position: string>>, skills array<struct<skill: string>>, "
+        "screeningQuestions array<struct<question: string>>, flexibleWorkArrangements array<struct<flexibleWorkArrangement: string>>, "
+        "address struct<districts: array<struct<location: string>>, isOverseas: boolean>"
+    ),
+    "seek": (
+        "job struct<title: string, content: string, status: string, listedAt: struct<dateTimeUtc: timestamp>, expiresAt: struct<dateTimeUtc: timestamp>, "
+        "advertiser: struct<id: string, name: string>, location: struct<label: string>, workTypes: struct<label: string>, classifications: array<struct<label: string>>, "
+        "salary: struct<label: string, currencyLabel: string>, products: struct<questionnaire: struct<questions: array<string>>>, contactMatches: array<struct<type: string, "
+        "value: string>>>, gfjInfo struct<location: struct<countryCode: string>>"
+    ),
+    "indeed": (
+        "title string, jobDescriptionHTML string, salary struct<min: double, max: double, currencyCode: string, type: string>, location struct<countryCode: string, "
+        "formatted: struct<long: string>>, companyDetails struct<name: string, websiteUrl: string>, companyOverviewLink string, attributes array<struct<label: string>>, "
+        "occupations array<struct<label: string>>, jobTypes array<string>, pubDate bigint, expirationDate bigint, jobSourceName string, originalApplyUrl string"
+    ),
+    "linkedin": (
+        "jobTitle string, jobDescription string, location string, sector string, contractType string, workType string, experienceLevel string, salaryInfo array<string>, "
+        "posterFullName string, posterProfileUrl string, publishedAt string, applyType string, companyId string, companyName string, companyWebsite string, "
+        "companyEmployeeCount bigint"
+    ),
+}
+
+
+def parsed(rows: DataFrame, family: str, payload: str = "payload") -> DataFrame:
+    """Identity columns and the family's columns of a JSON payload; one that doesn't fit fails the load."""
+    return rows.select(*IDENTITY, F.from_json(payload, PAYLOADS[family], {"mode": "FAILFAST"}).alias("_p")).select(*IDENTITY, "_p.*")
+
+
 def standardized(rows: DataFrame, family: str, overseas: Column | None = None) -> DataFrame:
     """One family's rows as WIDE. overseas: the country code of listings abroad, where the source says only that they are."""
     given = {"mcf": lambda: mcf(overseas if overseas is not None else F.lit(None).cast("string")), "seek": seek, "indeed": indeed, "linkedin": linkedin}[family]()

@@ -36,13 +36,21 @@ def test_html_refusals(given, reason):
 @pytest.mark.parametrize(
     "label,code,expected",
     [
-        ("S$5,000 – S$7,000 per month", None, (5000, 7000, "SGD", "Monthly")),
-        ("$80-$110K p.a.", "AUD", (80000, 110000, "AUD", "Annual")),
-        ("$5500 - $6k per month", "SGD", (5500, 6000, "SGD", "Monthly")),
-        ("up to HK$30,000 per month", None, (None, None, "HKD", "Monthly")),
-        ("฿26,000 per month", None, (None, None, "THB", "Monthly")),
-        ("$100,000 per year", None, (None, None, None, "Annual")),
+        ("S$4,200 – S$6,300 per month", None, (4200, 6300, "SGD", "Monthly")),
+        ("US$4,200 - US$6,300 per month", None, (4200, 6300, "USD", "Monthly")),
+        ("$70-$95K p.a.", "AUD", (70000, 95000, "AUD", "Annual")),
+        ("$4500 to $5k per month", "sgd", (4500, 5000, "SGD", "Monthly")),
+        ("SGD 4000 ~ 7000 per month", None, (4000, 7000, "SGD", "Monthly")),
+        ("Up to HK$28,000 per month", None, (None, 28000, "HKD", "Monthly")),
+        ("from RM3k monthly + 2 bonuses", None, (3000, None, "MYR", "Monthly")),
+        ("฿24,000 – ฿29,000 ต่อเดือน", None, (24000, 29000, "THB", "Monthly")),
+        ("฿24,000 per month", None, (None, None, "THB", "Monthly")),
+        ("$90,000 per year", None, (None, None, None, "Annual")),
+        ("S$4,000 - S$5,000", None, (None, None, "SGD", None)),
+        ("£20 - £30 or £40 per hour", None, (None, None, "GBP", "Hourly")),
+        ("AUD or NZD 5 - 6 per day", None, (None, None, None, "Daily")),
         ("฿40,000 - ฿30,000 per month", None, (None, None, "THB", "Monthly")),
+        ("  ", "AUD", (None, None, None, None)),
         (None, None, (None, None, None, None)),
     ],
 )
@@ -59,19 +67,24 @@ def test_title_rules(spark):
     rows = [("Senior Data Engineer", "Data Engineer", True), ("Data Analyst", "Data Engineer", False), ("", "", False)]
     df = spark.createDataFrame(rows, "a string, b string, fits boolean")
     assert all(r.fits == r.got for r in df.select("fits", titles.compatible(titles.tokens(F.col("a")), titles.tokens(F.col("b"))).alias("got")).collect())
-    assert titles.continuous("Back-End Developer", "BE Developer") and not titles.continuous("Data Analyst", "Data Engineer")
-    stages = spark.createDataFrame([("Graduate Internship",), ("Intern",), ("Graduate Programme",), ("Clerk",)], "t string").select(titles.stage(F.col("t"))).collect()
-    assert [r[0] for r in stages] == [None, "intern", "graduate", None]
+    pairs = [("Back-End Developer", "BE Developer", True), ("Head of Data Science", "HODS lead", True), ("Data Analyst", "Data Engineer", False), ("Vice President", "VP", False), (None, "x", False)]
+    df = spark.createDataFrame(pairs, "a string, b string, same boolean")
+    assert all(r.same == r.got for r in df.select("same", titles.continuous(F.col("a"), F.col("b")).alias("got")).collect())
+    stages = spark.createDataFrame([("Graduate Internship",), ("Intern",), ("GRAD Programme",), ("Clerk",), ("Interns and graduates",)], "t string").select(titles.stage(F.col("t"))).collect()
+    assert [r[0] for r in stages] == [None, "intern", "graduate", None, None]
 
 
 def test_first_phrase(spark):
-    df = spark.createDataFrame([("Sales Assistants",), ("Software Sales Assistant",), ("Data Entry Clerk",), ("Data Engineer",), (None,)], "t string")
-    got = [r[0] for r in df.select(titles.first_phrase(F.col("t"), ["sales assistant", "data entry"], ["software", "data"])).collect()]
-    assert got == ["sales assistant", None, "data entry", None, None]
+    rows = ["Sales Assistants", "sales/assistant", "Sales-  assistant", "Saless assistant", "Software Sales Assistant", "Data Entry Clerk", "Data-entries", "Data Engineer", "data entry of data", "Deputies", "Deputys", "Tax Clerks", "Taxes Clerk", None]
+    df = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = [r[0] for r in df.select(titles.first_phrase(F.col("t"), ["sales assistant", "data entry", "deputy", "tax"], ["software", "data"])).collect()]
+    assert got == ["sales assistant", "sales assistant", "sales assistant", None, None, "data entry", "data entry", None, None, "deputy", None, "tax", "tax", None]
 
 
 def test_verdicts(spark):
     cases = [
+        (0.72, ["lsh"], False, "Back-End Developer", "BE", True, False, "high", False),
+        (0.72, ["lsh"], True, "Data Engineer", "Cook", True, False, None, True),
         (0.72, ["lsh"], False, "Data Engineer", "Cook", False, False, "high", False),
         (0.72, ["lsh"], False, "Data Engineer", "Cook", True, False, None, True),
         (0.72, ["lsh"], False, "Data Engineer", "Cook", True, True, "high", False),
@@ -102,8 +115,25 @@ def test_page_buttons():
     assert page_buttons(1, 1) == [1]
 
 
-def test_language():
-    assert text.language_reason("Привет мир " * 40).startswith("Cyrillic")
-    assert text.language_reason("the work is to be done for you and us " * 10) is None
-    assert text.language_reason("lorem ipsum dolor sit amet " * 20) is not None
-    assert text.language_reason(None) is None
+def test_language(spark):
+    said = ["Привет мир " * 40, "the work is to be done for you and us " * 10, "lorem ipsum dolor sit amet " * 20, None, "short", "漢字仮名 かな " * 60, "漢字 Latin words " * 40, "สวัสดี " * 60, "𝔸𝔹" * 150]
+    df = spark.createDataFrame([(t,) for t in said], "t string")
+    got = [r[0] for r in df.select(text.not_english(F.col("t"))).collect()]
+    few = "JD not in English: few common English words"
+    assert got == ["JD not in English: 100% Cyrillic letters", None, few, None, None, "JD not in English: 100% Chinese letters", few, "JD not in English: 100% Thai letters", "JD not in English: 100% non-Latin letters"]
+
+
+def test_matching_text(spark):
+    cases = [("plain  text\n 1 2", "plain  text\n 1 2"), ("née мир x\n12 ！\nмир", "née x"), ("漢字", None), ("", None), (None, None), ("a\u00a0é\tб1 c\nвг d", "a é c\nd"), ("ﬁne ＡＢ ª", "ﬁne")]
+    df = spark.createDataFrame([(t, w) for t, w in cases], "t string, w string")
+    assert [r.got for r in df.select(text.matching_text(F.col("t")).alias("got")).collect()] == [w for _, w in cases]
+    docs = df.select(text.document(F.lit("Title"), F.col("t")).alias("d")).collect()
+    assert [r.d for r in docs] == ["title plain text 1 2", "title née x", None, "title", "title", "title a é c d", "title ﬁne"]
+
+
+def test_shingle_ids(spark):
+    import hashlib
+
+    df = spark.createDataFrame([("a b c d e f",), ("a b",), (None,)], "d string").select(text.shingle_ids(F.col("d")).alias("i")).collect()
+    one = lambda s: int.from_bytes(hashlib.blake2b(s.encode(), digest_size=8).digest(), "big", signed=True)
+    assert [r.i for r in df] == [sorted([one("a b c d e"), one("b c d e f")]), [one("a b")], None]
