@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -59,6 +59,23 @@ def out_of_order(before: DataFrame, arrived: DataFrame, key: str, order: Sequenc
     return arrived.join(last, key).where(F.struct(*order) <= F.col("_last")).select(id_, key)
 
 
+def replace_keys(rows: DataFrame, keys: DataFrame, new: DataFrame, key: Sequence[str]) -> DataFrame:
+    """rows without those of the keys, and the new ones, in one step."""
+    return rows.join(keys.select(*key).distinct(), [*key], "left_anti").unionByName(new)
+
+
+def page_after(rows: DataFrame, key: str, last, size: int) -> DataFrame:
+    """The next rows by key after the last one read: a filter that reaches the scan, and the least keys only."""
+    return rows.where(F.col(key) > F.lit(last)).orderBy(key).limit(size)
+
+
+def dumped(df: DataFrame, name: str, hook: Callable[[str, DataFrame], None] | None = None) -> DataFrame:
+    """df, shown to a hook on the way, if there is one."""
+    if hook is not None:
+        hook(name, df)
+    return df
+
+
 def duplicate_keys(rows: DataFrame, key: Sequence[str]) -> DataFrame:
     return rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
 
