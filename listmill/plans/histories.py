@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates
 from ..operators import history, merge
+from ..sources import json
 from ..sources.tables import read
 from .registry import query
 
@@ -27,9 +28,9 @@ def representative_latest(spark: SparkSession, d: str) -> DataFrame:
     return history.representative(read(spark, d, "events"), "user_id", "ts", "event_id", ["event_id", "event_type", "value"])
 
 
-@query("""WITH m AS (SELECT user_id, max(ts) AS ts FROM events GROUP BY user_id) SELECT user_id, count(DISTINCT (event_type, value)) AS n FROM events JOIN m USING (user_id, ts) GROUP BY user_id HAVING count(DISTINCT (event_type, value)) > 1""")
+@query("""WITH e AS (SELECT *, ts::DATE AS day FROM events), m AS (SELECT user_id, max(day) AS day FROM e GROUP BY user_id) SELECT user_id, count(DISTINCT event_type) AS n FROM e JOIN m USING (user_id, day) GROUP BY user_id HAVING count(DISTINCT event_type) > 1""")
 def ambiguous_representatives(spark: SparkSession, d: str) -> DataFrame:
-    return history.ambiguous(read(spark, d, "events"), "user_id", "ts", ["event_type", "value"])
+    return history.ambiguous(read(spark, d, "events").withColumn("day", F.to_date("ts")), "user_id", "day", ["event_type"])
 
 
 @query("""SELECT user_id, ts::DATE AS day, count(*) AS n FROM events GROUP BY ALL HAVING count(*) FILTER (WHERE event_type <> 'error') = 0""")
@@ -118,10 +119,11 @@ def published_nights_window(spark: SparkSession, d: str) -> DataFrame:
     return rows.join(F.broadcast(since), F.col("night") >= F.col("since")).drop("since")
 
 
-@query("""SELECT event_id, user_id, (props::JSON->>'k')::BIGINT AS k, json_type(props::JSON) AS kind FROM events""")
+@query("""WITH j AS (SELECT event_id, user_id, (props::JSON->>'k')::BIGINT AS k, CASE event_id % 4 WHEN 0 THEN props WHEN 1 THEN '[' || props || ']' WHEN 2 THEN (props::JSON->>'k') ELSE '"' || event_type || '"' END AS value FROM events) SELECT event_id, user_id, k, CASE json_type(value::JSON) WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' WHEN 'VARCHAR' THEN 'string' ELSE 'number' END AS kind FROM j""")
 def json_props(spark: SparkSession, d: str) -> DataFrame:
-    kind = F.when(F.col("props").isNotNull(), F.lit("OBJECT"))
-    return read(spark, d, "events").select("event_id", "user_id", F.from_json("props", "k long", {"mode": "FAILFAST"})["k"].alias("k"), kind.alias("kind"))
+    k = F.from_json("props", "k long", json.STRICT)["k"]
+    value = F.when(F.col("event_id") % 4 == 0, F.col("props")).when(F.col("event_id") % 4 == 1, F.concat(F.lit("["), "props", F.lit("]"))).when(F.col("event_id") % 4 == 2, k.cast("string")).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    return read(spark, d, "events").select("event_id", "user_id", k.alias("k"), json.kind(value).alias("kind"))
 
 
 @query("""SELECT conv_id, turn, role, lag(role) OVER w AS previous_role, lag(text) OVER w IS NOT DISTINCT FROM text AS repeats, count(*) OVER (PARTITION BY conv_id) AS turns FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn)""")

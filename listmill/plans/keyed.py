@@ -56,10 +56,11 @@ def group_states(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").groupBy("event_type").agg(first(50, "first_high"), first(90, "first_top"), F.array_sort(F.collect_set("user_id")).alias("members"))
 
 
-@query("""SELECT l_suppkey FROM lineitem WHERE l_partkey % 50 = 7 UNION SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 2)""")
+@query("""SELECT l_suppkey FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_size = 7 AND p_retailprice < 1500 UNION SELECT s_suppkey FROM supplier WHERE s_nationkey IN (SELECT n_nationkey FROM nation WHERE n_regionkey = 2)""")
 def member_expansion(spark: SparkSession, d: str) -> DataFrame:
     here = read(spark, d, "nation").where("n_regionkey = 2").select(F.col("n_nationkey").alias("s_nationkey"))
-    return read(spark, d, "lineitem").where("l_partkey % 50 = 7").select("l_suppkey").union(read(spark, d, "supplier").join(F.broadcast(here), "s_nationkey", "left_semi").select("s_suppkey")).distinct()
+    anchors = read(spark, d, "part").where("p_size = 7 and p_retailprice < 1500").select(F.col("p_partkey").alias("l_partkey"))
+    return read(spark, d, "lineitem").join(anchors, "l_partkey", "left_semi").select("l_suppkey").union(read(spark, d, "supplier").join(F.broadcast(here), "s_nationkey", "left_semi").select("s_suppkey")).distinct()
 
 
 @query("""SELECT user_id, event_type, value FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS r FROM events) WHERE r = 1""")
@@ -110,7 +111,8 @@ def tumbling_nights(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "events").groupBy(F.window("ts", "1 day", "1 day", "19 hours").alias("w")).agg(F.count("*").alias("n")).select(F.col("w.start").cast("timestamp_ntz").alias("start"), "n")
 
 
-@query("""WITH s AS (SELECT *, row_number() OVER (ORDER BY value DESC, event_id) AS r FROM events WHERE event_type = 'view') SELECT event_id, r <= 100 AS chosen FROM s WHERE r <= 150""")
+@query("""SELECT event_id, row_number() OVER (ORDER BY value DESC, event_id) <= 100 AS chosen FROM events WHERE event_type = 'view'""")
 def fetch_targets(spark: SparkSession, d: str) -> DataFrame:
-    top = read(spark, d, "events").where("event_type = 'view'").orderBy(F.desc("value"), "event_id").limit(150)
-    return top.select("event_id", (F.row_number().over(W.orderBy(F.desc("value"), "event_id")) <= 100).alias("chosen"))
+    rows = read(spark, d, "events").where("event_type = 'view'")
+    chosen = rows.orderBy(F.desc("value"), "event_id").limit(100).select("event_id", F.lit(True).alias("chosen"))
+    return rows.select("event_id").join(chosen, "event_id", "left").select("event_id", F.coalesce("chosen", F.lit(False)).alias("chosen"))

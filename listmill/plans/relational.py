@@ -145,9 +145,10 @@ def boolean_text_search(spark: SparkSession, d: str) -> DataFrame:
     return read(spark, d, "documents").where(text.search('(the AND "tion " NOT license) OR " der die "', F.col("text"))).select("doc_id", "lang")
 
 
-@query(r"""SELECT p_partkey, p_name FROM part WHERE p_name || '_100%' ILIKE '%1\_100\%%' ESCAPE '\'""")
+@query(r"""SELECT p_partkey, p_name FROM part WHERE p_name || CASE p_size % 3 WHEN 0 THEN '_100%' WHEN 1 THEN 'x100%' ELSE '_100x' END ILIKE '%G\_100\%%' ESCAPE '\'""")
 def like_escaped_search(spark: SparkSession, d: str) -> DataFrame:
-    return read(spark, d, "part").where(F.concat("p_name", F.lit("_100%")).ilike(text.like_escaped("1_100%"))).select("p_partkey", "p_name")
+    end = F.when(F.col("p_size") % 3 == 0, "_100%").when(F.col("p_size") % 3 == 1, "x100%").otherwise("_100x")
+    return read(spark, d, "part").where(F.concat("p_name", end).ilike(text.like_escaped("G_100%"))).select("p_partkey", "p_name")
 
 
 @query("""WITH r AS (SELECT n_name, o_orderstatus, o_orderpriority LIKE '1%' AS urgent FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
