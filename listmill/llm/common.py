@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,9 +48,3 @@ def in_hash_order(rows: DataFrame, key: str, bound: int) -> DataFrame:
         near = rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 40)) < int((1 << 40) * (1.5 * bound / n) + 1))
         rows = near if near.count() >= bound else rows
     return rows.orderBy(F.pmod(F.xxhash64(key), F.lit(1 << 40)), key).limit(bound)
-
-
-def release() -> None:
-    """Lets go of plans that are no longer referenced, so that Spark's cleaner deletes their shuffle files now and not at the driver's next full collection."""
-    gc.collect()
-    SparkSession.active().sparkContext._jvm.System.gc()

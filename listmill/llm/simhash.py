@@ -15,6 +15,8 @@ repeated rows get the same fingerprint and component; an empty table gives an em
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
 from functools import lru_cache, reduce
 
 import numpy as np
@@ -118,13 +120,14 @@ def groups(docs: DataFrame, k: int = 3, distance: int = 2) -> DataFrame:
 # Similarity of 0.8 and the like takes wider fingerprints: at a Jaccard similarity of s, fingerprints of sets differ in a share of
 # arccos(2 s / (1 + s)) / pi of their bits (0.15 at 0.8), and that many of 64 bits can't be told from chance in a few segments.
 
-#: Bits of a segment, segments, and arrangements of the same bits that are cut into segments each: a pair at a similarity of 0.8 shares
-#: one of the 279 segments with a probability of 0.9995.
-WIDE_BITS, WIDE_SEGMENTS, ARRANGEMENTS = 22, 93, 3
+#: Bits of a fingerprint, and the least bits of a segment.
+WIDE, LEAST_BITS = 2046, 22
+#: Segments that a pair at the similarity shares on average, over all arrangements of the same bits: it shares none with a probability of exp(-SHARED), 0.0004.
+SHARED = 7.8
 #: Segments of the chain that is checked from a shared segment on before the whole fingerprints are.
 CHAIN = 8
-#: Keys of buckets that are compared with their least members in one go, from and to: six segments, then all.
-STAGES = ((0, (6 << WIDE_BITS) - 1), (-(1 << 63), (1 << 63) - 1))
+#: Segments whose buckets are compared with their least members first, before all are.
+FIRST = 6
 #: Standard deviations added to the expected difference, so that pairs at the very threshold are found; what else they let in goes by its exact similarity.
 LENIENT = 4.0
 #: Majority bits of small sets differ by more than arccos() tells, so sets of up to so many shingles also meet by shingles, which is exact.
@@ -145,7 +148,7 @@ def jaccard(x: np.ndarray, y: np.ndarray) -> float:
 
 def wide_fingerprint(h: np.ndarray) -> np.ndarray:
     """Bits (0 or 1) of a set of shingles()."""
-    n = WIDE_BITS * WIDE_SEGMENTS
+    n = WIDE
     size, counts = len(h), []
     for _ in range(-(-n // 64)):
         h = h + np.uint64(0x9E3779B97F4A7C15)
@@ -159,35 +162,56 @@ def wide_fingerprint(h: np.ndarray) -> np.ndarray:
 
 def arrangement(i: int) -> np.ndarray:
     """The order of a fingerprint's bits that is cut into segments; that of 0 is their own."""
-    n = WIDE_BITS * WIDE_SEGMENTS
-    return np.random.default_rng(i).permutation(n) if i else np.arange(n)
+    return np.random.default_rng(i).permutation(WIDE) if i else np.arange(WIDE)
 
 
-def budget(similarity: float, n: int = WIDE_BITS * WIDE_SEGMENTS) -> int:
+def differing(similarity: float) -> float:
+    """The share of bits that fingerprints at this Jaccard similarity differ in."""
+    return float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+
+
+def budget(similarity: float, n: int = WIDE) -> int:
     """Most bits of n that fingerprints of texts at this Jaccard similarity may differ in."""
-    share = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
+    share = differing(similarity)
     return int(n * share + LENIENT * (n * share * (1 - share)) ** 0.5)
 
 
-def _near(pairs: DataFrame, prints: DataFrame, most: int) -> DataFrame:
+@dataclass(frozen=True)
+class Ring:
+    """How fingerprints are cut: bits of a segment, segments on the ring, arrangements of the bits with such a ring each."""
+
+    bits: int
+    segments: int
+    arrangements: int
+
+    @classmethod
+    def of(cls, n: int, similarity: float) -> Ring:
+        """For n fingerprints. A segment has five bits more than it takes to number them, so that by chance a fingerprint meets one in 32 / segments others however many there are."""
+        bits = max(LEAST_BITS, max(n, 1).bit_length() + 5)
+        segments = WIDE // bits
+        return cls(bits, segments, math.ceil(SHARED / (segments * (1 - differing(similarity)) ** bits)))
+
+
+def _near(pairs: DataFrame, prints: DataFrame, most: int, cuts: Ring) -> DataFrame:
     """Of pairs a, b, key (of a bucket they share) those that share a shingle's bucket, or whose fingerprints differ in at most `most` bits."""
     a, b = (prints.select(F.col("id").alias(x), F.col("bits").alias(f"{x}_bits")) for x in "ab")
-    orders = np.array([arrangement(i) for i in range(ARRANGEMENTS)])
+    orders = np.array([arrangement(i)[: cuts.bits * cuts.segments] for i in range(cuts.arrangements)])
+    due = np.arange(1, CHAIN + 1) * most * cuts.bits / WIDE
 
     def each(batch):
         key = np.asarray(batch.column(2))
-        seg = np.maximum(key, 0) >> WIDE_BITS
-        x, y = (np.unpackbits(np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)[:, : WIDE_BITS * WIDE_SEGMENTS] for i in (3, 4))
+        seg = np.maximum(key, 0) >> cuts.bits
+        x, y = (np.unpackbits(np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)[:, :WIDE] for i in (3, 4))
         bits = x ^ y
         whole = bits.sum(1, dtype=np.int64)
         near = key < 0
-        for i in range(ARRANGEMENTS):
-            at = np.flatnonzero((key >= 0) & (seg // WIDE_SEGMENTS == i) & (whole <= most))
-            differ = bits[at][:, orders[i]].reshape(len(at), WIDE_SEGMENTS, WIDE_BITS).sum(2)
-            ring = (seg[at, None] % WIDE_SEGMENTS + np.arange(CHAIN)) % WIDE_SEGMENTS
+        for i in range(cuts.arrangements):
+            at = np.flatnonzero((key >= 0) & (seg // cuts.segments == i) & (whole <= most))
+            differ = bits[at][:, orders[i]].reshape(len(at), cuts.segments, cuts.bits).sum(2)
+            ring = (seg[at, None] % cuts.segments + np.arange(CHAIN)) % cuts.segments
             grown = np.cumsum(np.take_along_axis(differ, ring, axis=1), axis=1)
             # the shared segment may stand anywhere on a good chain, so the budget is that of the chain with the slack of a few segments
-            near[at] = (grown <= np.arange(1, CHAIN + 1) * most / WIDE_SEGMENTS + 4 * np.sqrt(np.arange(1, CHAIN + 1) * most / WIDE_SEGMENTS)).all(axis=1)
+            near[at] = (grown <= due + 4 * np.sqrt(due)).all(axis=1)
         yield pa.record_batch([c.filter(pa.array(near)) for c in batch.columns[:2]], names=["a", "b"])
 
     return common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "key", "a_bits", "b_bits"), each, "a long, b long")
@@ -204,15 +228,15 @@ def _words(prints: DataFrame) -> DataFrame:
     return common.mapped(prints.select("id", "bits"), each, "id long, words array<long>")
 
 
-def _segment_keys(one: DataFrame, i: int) -> DataFrame:
+def _segment_keys(one: DataFrame, i: int, cuts: Ring) -> DataFrame:
     """key, id, n, sketch: the segments of arrangement i of every fingerprint."""
-    order, powers = arrangement(i), 1 << np.arange(WIDE_BITS)
-    high = (i * WIDE_SEGMENTS + np.arange(WIDE_SEGMENTS, dtype=np.int64)) << WIDE_BITS
+    order, powers = arrangement(i)[: cuts.bits * cuts.segments], 1 << np.arange(cuts.bits)
+    high = (i * cuts.segments + np.arange(cuts.segments, dtype=np.int64)) << cuts.bits
 
     def each(batch):
         bits = np.unpackbits(np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(batch.num_rows, -1), axis=1)[:, order]
-        keys = (bits.reshape(-1, WIDE_SEGMENTS, WIDE_BITS) @ powers) | high
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * WIDE_SEGMENTS), pa.array(keys.ravel()))
+        keys = (bits.reshape(-1, cuts.segments, cuts.bits) @ powers) | high
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * cuts.segments), pa.array(keys.ravel()))
         yield pa.record_batch([*batch.columns[:3], lists], names=["id", "n", "sketch", "keys"])
 
     return common.mapped(one.select("id", "n", "sketch", "bits"), each, "id long, n int, sketch long, keys array<long>").select(F.explode("keys").alias("key"), "id", "n", "sketch")
@@ -241,7 +265,9 @@ def _exact(pairs: DataFrame, prints: DataFrame, vertices: DataFrame, similarity:
         near = [jaccard(of(x.as_py()), of(y.as_py())) >= similarity for x, y in zip(batch.column(2), batch.column(3), strict=True)]
         yield pa.record_batch([c.filter(pa.array(near, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
-    return common.cut(common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "a_z", "b_z"), each, "a long, b long"))
+    found = common.cut(common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "a_z", "b_z"), each, "a long, b long"))
+    common.dropped(texts)
+    return found
 
 
 def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> DataFrame:
@@ -276,14 +302,15 @@ def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
     # vertices are distinct sets, numbered by their smallest doc_id: one doc_id may have several texts
     sets = prints.groupBy("set").agg(F.min("doc_id").alias("first"), *(F.first(c).alias(c) for c in ("n", "sketch", "bits", "few")))
     one = common.stored(sets.orderBy(F.asc_nulls_last("first"), "set").withColumn("id", F.monotonically_increasing_id()), "simhash-wide-distinct")
+    cuts = Ring.of(one.count(), similarity)
     parts = []
-    for keyed in (*(_segment_keys(one, i) for i in range(ARRANGEMENTS)), _shingle_keys(one, similarity)):
+    for keyed in (*(_segment_keys(one, i, cuts) for i in range(cuts.arrangements)), _shingle_keys(one, similarity)):
         least = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("least")).where("c > 1").drop("c")
         parts.append(common.stored(keyed.join(least, "key"), "simhash-wide-keys"))
-        common.release()
     shared = reduce(DataFrame.unionByName, parts)
     heads = shared.where("id = least").select("key", F.col("n").alias("least_n"), F.col("sketch").alias("least_sketch"))
     busy = common.stored(shared.join(heads, "key"), "simhash-wide-busy")
+    common.dropped(*parts)
     only = one.select("id", "bits")
     most, most_sketch = budget(similarity), budget(similarity, 64)
 
@@ -292,32 +319,37 @@ def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
         return (F.least(n, m) / F.greatest(n, m) >= similarity) & ((key < 0) | (_differs(x, y) <= most_sketch))
 
     links, held = None, busy.withColumns({"group": F.col("id"), "least_group": F.col("least")})
-    for since, until in STAGES:  # a few segments join most of a large group; later ones add only pairs that aren't in one group yet
+    for since, until in ((0, (FIRST << cuts.bits) - 1), (-(1 << 63), (1 << 63) - 1)):  # a few segments join most of a large group; later ones add only pairs that aren't in one group yet
         star = held.where((F.col("group") != F.col("least_group")) & F.col("key").between(since, until) & likely(F.col("key"), F.col("n"), F.col("least_n"), F.col("sketch"), F.col("least_sketch")))
         star = star.groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.min("key").alias("key"))
-        found = _exact(_near(star, only, most), prints, one, similarity, k)
+        found = _exact(_near(star, only, most, cuts), prints, one, similarity, k)
         links = found if links is None else links.unionByName(found)
         reached = components(links)
         named = [reached.select(F.col("node").alias(n), F.col("component").alias(f"{n}_component")) for n in ("id", "least")]
         held = busy.join(named[0], "id", "left").join(named[1], "least", "left").select(*busy.columns, F.coalesce("id_component", "id").alias("group"), F.coalesce("least_component", "least").alias("least_group"))
     held = common.stored(held.select("key", "id", "n", "sketch", "group"), "simhash-wide-held")
+    common.dropped(busy)
     per = held.groupBy("key", "group").agg(F.count("*").alias("c"))
     mixed = per.groupBy("key").agg(F.max_by("group", F.struct("c", "group")).alias("main"), F.count("*").alias("groups"), F.sum("c").alias("c")).where("groups > 1 and c > 2").select("key", "main")  # two were compared already
-    several = common.stored(held.join(common.stored(mixed, "simhash-wide-mixed"), "key"), "simhash-wide-several")
-    words = _words(only.join(several.select("id").distinct(), "id", "left_semi"))
-    several = common.stored(several.join(words, "id"), "simhash-wide-several-words")
-    common.release()
+    bare = common.stored(held.join(mixed, "key"), "simhash-wide-mixed")
+    common.dropped(held)
+    words = _words(only.join(bare.select("id").distinct(), "id", "left_semi"))
+    several = common.stored(bare.join(words, "id"), "simhash-wide-several")
+    common.dropped(bare)
     x, y = several.where(F.col("group") != F.col("main")).alias("x"), several.alias("y")
     near = likely(F.col("x.key"), F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch"))
     # in a large group of texts just below the similarity most pairs share a segment: whole fingerprints are compared before a pair is a row
-    apart = reduce(Column.__add__, (_differs(F.col("x.words")[i], F.col("y.words")[i]) for i in range(-(-WIDE_BITS * WIDE_SEGMENTS // 64))))
+    apart = reduce(Column.__add__, (_differs(F.col("x.words")[i], F.col("y.words")[i]) for i in range(-(-WIDE // 64))))
     near = near & ((F.col("x.key") < 0) | (apart <= most))
     across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.group") != F.col("y.group")) & near)
     across = across.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.min("x.key").alias("key"))
-    links = links.unionByName(_exact(_near(across, only, most), prints, one, similarity, k))
+    links = links.unionByName(_exact(_near(across, only, most, cuts), prints, one, similarity, k))
+    common.dropped(several)
     of = one.join(components(links), one.id == F.col("node"), "left").select("set", F.coalesce("component", "id").alias("component"))
     of = of.join(one.select(F.col("id").alias("component"), F.col("first").alias("component_id")), "component").select("set", "component_id")
-    return prints.select("doc_id", "text_key", "set").join(common.stored(of, "simhash-wide-components"), "set").drop("set")
+    found = common.stored(prints.select("doc_id", "text_key", "set").join(of, "set").drop("set"), "simhash-wide-components")
+    common.dropped(prints, one)
+    return found
 
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> DataFrame:
