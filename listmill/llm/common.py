@@ -34,6 +34,12 @@ def docs_of(df: DataFrame, *keep: str) -> DataFrame:
     return df.select("doc_id", F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"), *keep)
 
 
+def one_text(docs: DataFrame, picked: DataFrame, *keep: str) -> DataFrame:
+    """doc_id, text (as docs_of()) and the columns to keep of the documents picked (doc_id and those columns, a bounded number), one row each: the least text where rows share a doc_id."""
+    rows = docs_of(docs.select("doc_id", "text")).join(F.broadcast(picked), "doc_id")
+    return rows.groupBy("doc_id", *keep).agg(F.min("text").alias("text")).select("doc_id", "text", *keep)
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 

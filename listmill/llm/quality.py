@@ -10,7 +10,8 @@ At most SAMPLE positives, SAMPLE labelled rows (for the prior) and twice SAMPLE
 their measures, some numbers a row, go to the driver. Scoring is one pass over all rows.
 
 Defined results: null and empty texts are measured as empty and get that text's score; repeated rows get the same score; without positives or
-unlabelled rows every score is the prior (1/2 without labels); an empty table gives an empty table; extra columns are ignored.
+unlabelled rows every score is the prior (1/2 without labels); of rows that share a doc_id, the least text is learned from; an empty table gives an empty table; extra
+columns, whatever their names, are ignored.
 """
 
 from __future__ import annotations
@@ -128,22 +129,19 @@ def _measured(docs: DataFrame) -> DataFrame:
     return common.mapped(docs, each, "side int, m array<double>")
 
 
-def learn(docs: DataFrame, labels: DataFrame, held_out: DataFrame | None = None, bound: int = SAMPLE) -> Model:
-    """labels: doc_id, quality; only rows to learn from. held_out: doc_id of labelled rows to be kept out of the unlabelled set too (none needed: their labels aren't read)."""
-    rows = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("l")).agg(F.min("quality").cast("int").alias("y"))
+def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Model:
+    """labels: doc_id, quality; only rows to learn from."""
+    rows = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
     rows = common.cut(rows)
     seen = rows.agg(F.count("*").alias("n"), F.sum("y").alias("p")).first()
     prior = (float(seen.p or 0) + 1) / (seen.n + 2)
     if not seen.p:
         return Model(prior)
-    positive = common.in_hash_order(rows.where("y = 1"), "l", bound).select("l", F.lit(1).alias("side"))
-    others = docs.select(F.col("doc_id").alias("l")).join(rows.select(F.col("l").alias("known")), F.col("l") == F.col("known"), "left_anti")
-    if held_out is not None:
-        others = others.join(held_out.select(F.col("doc_id").alias("known")), F.col("l") == F.col("known"), "left_anti")
-    others = common.in_hash_order(common.cut(others.where("l is not null").distinct()), "l", 2 * bound).select("l", F.lit(0).alias("side"))
-    picked = common.cut(positive.unionByName(others))  # 3 * bound rows of 12 bytes
-    chosen = common.docs_of(docs.join(F.broadcast(picked), docs.doc_id == F.col("l")), "side")
-    got = _measured(chosen).collect()  # bounded like picked, 32 numbers a row
+    positive = common.in_hash_order(rows.where("y = 1").select("doc_id"), "doc_id", bound)
+    others = docs.select("doc_id").where("doc_id is not null").join(rows.select("doc_id"), "doc_id", "left_anti").distinct()
+    others = common.in_hash_order(common.cut(others), "doc_id", 2 * bound)
+    picked = common.cut(positive.withColumn("side", F.lit(1)).unionByName(others.withColumn("side", F.lit(0))))  # 3 * bound rows of 12 bytes
+    got = _measured(common.one_text(docs, picked, "side")).collect()  # bounded like picked, 32 numbers a row
     side, x = np.array([r.side for r in got]), np.array([r.m for r in got], float)
     order = np.lexsort((*x.T, side)) if len(x) else []
     side, x = side[order], x[order]

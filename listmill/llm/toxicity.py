@@ -1,6 +1,6 @@
 """Toxicity by a weighted lexicon, matched by Aho-Corasick on folded text.
 
-Folding lowers case, turns full-width forms and look-alike letters of other scripts into Latin ones, drops invisible characters,
+Folding lowers case, turns full-width and mathematical forms and look-alike letters of other scripts into plain Latin ones, drops accents and invisible characters,
 reads digits and signs inside words as the letters they stand for, and turns the rest into spaces. Lexicon entries are whole words
 or beginnings of words, each with a weight; matches inside an exception phrase don't count. A text's matches are summed, and
 the sum and the sum by length give a score by a logistic function.
@@ -8,14 +8,16 @@ the sum and the sum by length give a score by a logistic function.
 Entries, weights, exception phrases and the function's coefficients are learned from labelled rows: at most SAMPLE of them, taken in
 hash order (a documented bound); each row's own words decide, never its labels, lang, source or doc_id.
 
-Defined results: null and empty texts have no match and get the score of such a text; repeated rows get the same score; without labelled
-rows of both kinds all scores are 0; an empty table gives an empty table; extra columns of the input are ignored (scores) or kept (clean).
+Defined results: null and empty texts have no match and get the score of such a text; repeated rows get the same score; of rows that share a doc_id, the least
+text is learned from; without labelled rows of both kinds all scores are 0; an empty table gives an empty table; extra columns of the input, whatever their names, are
+ignored (scores) or kept (clean).
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from dataclasses import dataclass
 from functools import lru_cache
@@ -59,6 +61,8 @@ def _letters(m: re.Match) -> str:
 
 def fold(text: str) -> str:
     """Words parted and enclosed by single spaces."""
+    if not text.isascii():
+        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c))
     text = _REST.sub(" ", text.lower().translate(_FOLD))
     text = _SIGNED.sub(_letters, text) if any(s in text for s in "013457$@!") else text
     return f" {' '.join(text.replace('$', ' ').replace('@', ' ').replace('!', ' ').split())} "
@@ -145,23 +149,29 @@ def choose(counts: list[tuple[str, int, int]], toxic: int, clean: int) -> dict[s
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression by Newton's method, with a small ridge and no negative slopes."""
-    w, ridge = np.zeros(x.shape[1]), np.array([1e-3, 1e-2, 1e-2])
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        g, h = x.T @ (p - y) + ridge * w, (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge)
-        step = np.linalg.solve(h, g)
-        w -= step
-        if np.abs(step).max() < 1e-6:
-            break
-    return tuple(map(float, w))
+    """Logistic regression by Newton's method, with a small ridge. Columns after the first are held at slopes of zero or more: the one that falls furthest below is left out, and the rest fitted again."""
+    ridge, used = np.array([1e-3, *[1e-2] * (x.shape[1] - 1)]), list(range(x.shape[1]))
+    while True:
+        part, w = x[:, used], np.zeros(len(used))
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-np.clip(part @ w, -30, 30)))
+            g, h = part.T @ (p - y) + ridge[used] * w, (part * (p * (1 - p))[:, None]).T @ part + np.diag(ridge[used])
+            step = np.linalg.solve(h, g)
+            w -= step
+            if np.abs(step).max() < 1e-6:
+                break
+        if len(w) == 1 or w[1:].min() >= 0:
+            out = np.zeros(x.shape[1])
+            out[used] = w
+            return tuple(map(float, out))
+        del used[1 + int(w[1:].argmin())]
 
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, bound: int = SAMPLE) -> DataFrame:
-    """doc_id, text, y of at most bound labelled rows in hash order; labels that contradict each other count as the larger."""
-    rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("l")).agg(F.max(label).cast("int").alias("y"))
-    picked = common.cut(common.in_hash_order(rows, "l", bound))  # 16 bytes a row
-    return common.docs_of(docs.join(F.broadcast(picked), docs.doc_id == F.col("l")), "y")
+    """doc_id, text, y of at most bound labelled documents in hash order; labels that contradict each other count as the larger."""
+    rows = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    picked = common.cut(common.in_hash_order(rows, "doc_id", bound))  # 16 bytes a row
+    return common.one_text(docs, picked, "y")
 
 
 def learn(docs: DataFrame, labels: DataFrame, bound: int = SAMPLE) -> Lexicon:
