@@ -152,6 +152,9 @@ def write(pages: DataFrame, folder: str, least: int = 0, roll: int = ROLL_BYTES,
 
     tmp = f"{folder}/_manifest-{uuid.uuid4().hex}"
     dealt.mapInArrow(each, MANIFEST).write.json(tmp)
+    for left in at.globStatus(path(f"{folder}/.part-*")) or ():  # temporary files of attempts that failed
+        at.delete(left.getPath(), False)
+    common.dropped(facts, firsts)
     if not at.rename(path(tmp), path(f"{folder}/_manifest")):
         raise OSError(f"{folder}: the manifest can't be committed")
     return spark.read.schema(MANIFEST).json(f"{folder}/_manifest")
@@ -178,6 +181,8 @@ class File:
 
     def commit(self) -> pa.RecordBatch:
         self.out.close()
+        if self.place.get_file_info(self.to).type != arrow_fs.FileType.NotFound:  # of an attempt that was lost after this; its bytes are the same, and not all stores rename onto a file
+            self.place.delete_file(self.to)
         self.place.move(self.tmp, self.to)
         return pa.record_batch({"file": [self.name], "records": pa.array([self.records], pa.int64()), "bytes": pa.array([self.size], pa.int64()), "sha256": [self.digest.hexdigest()]})
 
