@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import answers, markup, names, people, text, titles, vacancy
+from ..functions import answers, contacts, markup, names, people, text, titles, vacancy
 from ..operators import merge
 from ..sources import standard
 from ..sources.tables import read
@@ -250,3 +250,63 @@ def shingle_identities(spark: SparkSession, d: str) -> DataFrame:
     """BLAKE2b ids of the five-word strings of each text."""
     doc = text.document(F.lit(None).cast("string"), F.col("text"))
     return read(spark, d, "documents").select("doc_id", text.shingle_ids(doc).alias("ids"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN ['Jane Doe'] WHEN 1 THEN ['Ann Lee Tan'] WHEN 2 THEN [] ELSE ['Bob Ray', 'Cy Dee'] END AS names, CASE WHEN c_custkey % 4 = 3 THEN ['a.b@x.test', 'c@y.test'] ELSE [] END AS emails,
+CASE c_custkey % 3 WHEN 0 THEN 'Wei Ming Tan' WHEN 1 THEN 'TAN WEI' ELSE 'Wei Tan' END AS turned, CASE c_custkey % 3 WHEN 0 THEN 'email' WHEN 1 THEN 'phone' END AS kind FROM customer""")
+def printed_contacts(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey")
+    said = F.element_at(F.array(*map(F.lit, ("Please contact: Senior Consultant Jane Doe today", "Ann Lee Tan | EA Reg No: R1234567", "contact Our Team at once", "speak to Mr. Bob Ray or email CV to Cy Dee: a.b@x.test, c@y.test a.b@x.test"))), (k % 4 + 1).cast("int"))
+    name = F.element_at(F.array(*map(F.lit, ("TAN Wei Ming", "TAN WEI", "Wei Tan"))), (k % 3 + 1).cast("int"))
+    value = F.element_at(F.array(*map(F.lit, (" a@b.co ", "6123 4567", " "))), (k % 3 + 1).cast("int"))
+    return read(spark, d, "customer").select("c_custkey", contacts.names_in(said).alias("names"), contacts.printed_addresses(said).alias("emails"), contacts.surname_last(name).alias("turned"), contacts.contact(F.lit(None).cast("string"), value)["kind"].alias("kind"))
+
+
+@query("""SELECT s_suppkey, s.place, s.name, s.designation, CASE s.place WHEN 0 THEN 'Dept ' || s_nationkey END AS department, s.phone, s.email FROM supplier, (VALUES (0, 'Wei Tan', 'Head & Lead', '6123', 'w@x.test'), (1, 'Jane Doe', NULL, NULL, NULL)) s(place, name, designation, phone, email)""")
+def directory_officers(spark: SparkSession, d: str) -> DataFrame:
+    agency = lambda c: F.concat(F.lit('<p class="col-md-12 title"><a href=x>'), c, F.lit("</a></p>"))
+    first = F.concat(F.lit('<li class="type-d"><span class="fa-user"></span><a href=y>Mr TAN Wei, PBM</a>'), agency(F.lit("Ministry")), agency(F.concat(F.lit("Dept "), "s_nationkey")), F.lit('<p class="col-md-6 title">Head  &amp; Lead</p><span class="fa-phone"></span> 6123 <br><span class="fa-envelope"></span><span>w@x.test<</li>'))
+    second = F.concat(F.lit('<li class="type-d"><span class="fa-user"></span><a href=z>Jane Doe</a>'), agency(F.lit("Ministry")), F.lit('</li><li class="type-d">nobody</li>'))
+    return contacts.officers(read(spark, d, "supplier").select("s_suppkey", F.concat(first, second).alias("html")), "s_suppkey", "html")
+
+
+@query("""SELECT s_suppkey, CASE s_suppkey % 6 WHEN 0 THEN 'x' WHEN 1 THEN 'instagram' WHEN 2 THEN 'personal_site' END AS kind, CASE s_suppkey % 6 WHEN 0 THEN '@janed' WHEN 1 THEN 'jane.d' WHEN 2 THEN 'janedoe.dev' END AS value FROM supplier""")
+def accounts_on_pages(spark: SparkSession, d: str) -> DataFrame:
+    pages = ("https://twitter.com/janed/status/1", "http://www.instagram.com/jane.d?x=1", "https://janedoe.dev/about", "https://x.com/search", "https://linkedin.com/in/janedoe", "https://x.com/other")
+    url = F.element_at(F.array(*map(F.lit, pages)), (F.col("s_suppkey") % 6 + 1).cast("int"))
+    title = F.when(F.col("s_suppkey") % 6 == 5, "Somebody else").otherwise("JANE DOE - posts")
+    found = contacts.account(url, title, F.lit("Jane Doe"))
+    return read(spark, d, "supplier").select("s_suppkey", found["kind"].alias("kind"), found["value"].alias("value"))
+
+
+@query("""WITH r AS (SELECT user_id, CASE event_type WHEN 'view' THEN 'github' WHEN 'click' THEN 'mobile' WHEN 'error' THEN 'other' ELSE 'x' END AS kind, 'v' || floor(value / 50)::INT AS value, min(event_id) AS spot FROM events GROUP BY 1, 2, 3)
+SELECT user_id, row_number() OVER (PARTITION BY user_id ORDER BY CASE kind WHEN 'mobile' THEN 1 WHEN 'github' THEN 2 WHEN 'x' THEN 3 ELSE 9 END, spot, value) AS place, kind, value FROM r""")
+def ordered_channels(spark: SparkSession, d: str) -> DataFrame:
+    kind = F.when(F.col("event_type") == "view", "github").when(F.col("event_type") == "click", "mobile").when(F.col("event_type") == "error", "other").otherwise("x")
+    rows = read(spark, d, "events").select("user_id", F.col("event_id").alias("at"), kind.alias("kind"), F.concat(F.lit("v"), F.floor(F.col("value") / 50).cast("int")).alias("value"))
+    return contacts.ordered_channels(rows, "user_id")
+
+
+@query("""SELECT o_orderkey, CASE o_orderkey % 3 WHEN 0 THEN CASE WHEN o_custkey % 2 = 0 THEN 'valid_mailbox_found' ELSE 'valid_mailbox_built' END WHEN 1 THEN 'no_mailbox' ELSE CASE WHEN o_custkey % 4 = 0 THEN 'unchecked_seen_online' WHEN o_custkey % 4 = 2 THEN CASE WHEN o_custkey % 8 = 2 THEN 'unchecked_seen_online' ELSE 'pattern_guess' END ELSE 'unchecked_our_guess' END END AS kind FROM orders""")
+def email_kinds(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("o_custkey")
+    status = F.when(F.col("o_orderkey") % 3 == 0, "valid").when(F.col("o_orderkey") % 3 == 1, "invalid")
+    return read(spark, d, "orders").select("o_orderkey", contacts.email_kind(k % 4 == 0, k % 4 == 2, status, k % 8 == 2).alias("kind"))
+
+
+@query("""SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN 'Early ' || c_custkey WHEN 1 THEN c_mktsegment WHEN 2 THEN 'Copy' WHEN 3 THEN c_name END AS name, CASE c_custkey % 5 WHEN 0 THEN 'earlier_linkedin_listing' WHEN 1 THEN 'linkedin_company_id' WHEN 2 THEN 'linkedin_copy_name' WHEN 3 THEN 'listing_name' END AS found_by FROM customer""")
+def identified_companies(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("c_custkey") % 5
+    rows = read(spark, d, "customer").select(
+        "c_custkey", F.when(k == 1, F.col("c_mktsegment")).when(k == 4, "Confidential").otherwise(F.col("c_name")).alias("own_name"), F.when(k == 2, "Copy").alias("copy_name"), F.when(k == 1, "77").alias("company_id"), F.when(k <= 0, F.concat(F.lit("Early "), "c_custkey")).alias("earlier_name")
+    )
+    return contacts.company(rows, "c_custkey")
+
+
+@query("""SELECT s_suppkey, 'jdoe@x.test' AS email, CASE s_nationkey % 3 WHEN 0 THEN 'Jane Doe' WHEN 1 THEN 'John Doe' END AS name FROM supplier""")
+def address_owners(spark: SparkSession, d: str) -> DataFrame:
+    rows = read(spark, d, "supplier")
+    k = F.col("s_nationkey") % 3
+    found = F.when(k == 0, F.array(F.lit("Ann Lee"), F.lit("Jane Doe"), F.lit("John Doe"))).when(k == 1, F.array(F.lit("John Doe"), F.lit("Jane Doe"))).otherwise(F.array(F.lit("Ann Lee")))
+    named = rows.select("s_suppkey", F.posexplode(found).alias("place", "name"))
+    return contacts.owners(rows.select("s_suppkey", F.lit("jdoe@x.test").alias("email")), named, "s_suppkey")
