@@ -27,9 +27,23 @@ def norm_scalar(c: Column) -> Column:
     return F.nullif(F.regexp_replace(c, f"^{SPACES}|{SPACES}$", ""), F.lit(""))
 
 
+#: White space but the space itself, and the runs that aren't one space: most words are parted by one, and nothing is to be replaced there.
+_ODD = SPACE.replace(r"\x20", r"\x1f")
+_RUNS = f" *[{_ODD}][{SPACE}]*|  [{SPACE}]*"
+
+
 def collapse(c: Column) -> Column:
     """White space runs become one space; trimmed."""
-    return F.trim(F.regexp_replace(c, SPACES, " "))
+    return F.trim(F.regexp_replace(c, _RUNS, " "))
+
+
+def filled(c: Column) -> Column:
+    """Empty text becomes null; c is worked out once."""
+    return let(c, lambda x: F.when(x != "", x))
+
+
+def is_ascii(c: Column) -> Column:
+    return F.octet_length(c) == F.length(c)
 
 
 def norm_array(c: Column) -> Column:
@@ -53,21 +67,31 @@ def _latin() -> str:
 LATIN = _latin()
 
 
+#: Characters that are no letters of other scripts, in ranges of which the first hold nearly all of most Latin texts.
+_PLAIN = r"\x00-\xa9\xab-\xb4\xb6-\xb9\xbb-\x{2af}\x{1e00}-\x{1eff}\x{2010}-\x{205e}\x{20a0}-\x{20bf}"
+
+
+def _matching_lines(text: Column) -> Column:
+    """Lines that have a Latin letter, without words that have letters of other scripts."""
+    foreign = rf"(?<![^{SPACE}])[^{SPACE}]*?[\p{{L}}&&[^{LATIN}]][^{SPACE}]*"
+    lines = F.split(text, "\n")
+    bare = F.when(text.rlike(f"[^{_PLAIN}]"), F.transform(lines, lambda line: F.regexp_replace(line, foreign, " "))).otherwise(lines)
+    return F.filter(bare, lambda line: line.rlike(f"[{LATIN}]"))
+
+
 def matching_text(text: Column) -> Column:
     """What of a text counts for matching: words without letters of other scripts, one space between them, in lines that have a Latin letter. ASCII texts stay as they are; nothing left is null."""
-    foreign = rf"(?<![^{SPACE}])[^{SPACE}]*?[\p{{L}}&&[^{LATIN}]][^{SPACE}]*"
-    lines = F.transform(F.split(text, "\n"), lambda line: collapse(F.regexp_replace(line, foreign, " ")))
-    kept = F.array_join(F.filter(lines, lambda line: line.rlike(f"[{LATIN}]")), "\n")
-    return F.nullif(F.when(text.rlike(r"^\p{ASCII}*$"), text).otherwise(kept), F.lit(""))
+    kept = F.array_join(F.transform(_matching_lines(text), collapse), "\n")
+    return filled(F.when(is_ascii(text), text).otherwise(kept))
 
 
 def document(title: Column, text: Column) -> Column:
     """Title and matching text joined, white space collapsed, lower case; null if there is nothing, or a text without any Latin letter (its title alone would say too little)."""
 
     def joined(usable: Column) -> Column:
-        return F.when(text.isNull() | usable.isNotNull() | ~text.rlike(f"[^{SPACE}]"), F.nullif(F.lower(collapse(F.concat_ws(" ", title, usable))), F.lit("")))
+        return F.when(text.isNull() | (usable != "") | ~text.rlike(f"[^{SPACE}]"), filled(F.lower(collapse(F.concat_ws(" ", title, usable)))))
 
-    return let(matching_text(text), joined)
+    return let(F.when(is_ascii(text), text).otherwise(F.array_join(_matching_lines(text), "\n")), joined)
 
 
 def fingerprint(doc: Column) -> Column:
@@ -155,7 +179,7 @@ def not_english(text: Column) -> Column:
     common = F.regexp_count(text, F.lit(r"(?i)(?<![A-Za-z])(?:" + "|".join(COMMON) + ")(?![A-Za-z])"))
     words = F.regexp_count(text, F.lit("[A-Za-z]+"))
     few = let(F.struct(words.alias("n"), common.alias("common")), lambda x: F.when((x["n"] >= WORDS) & (x["common"] * SHARE < x["n"]), F.lit(FEW_WORDS)))
-    return F.coalesce(F.when(~text.rlike(r"^\p{ASCII}*$"), script), few)
+    return F.coalesce(F.when(~is_ascii(text), script), few)
 
 
 def search(expression: str, of: Column, longest: int = 2000, deepest: int = 40) -> Column:
