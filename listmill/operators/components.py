@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.shared import cut
+from ..sources.shared import cut, dropped, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -18,9 +18,9 @@ def components(links: DataFrame) -> DataFrame:
     parents of linked nodes are hooked to those too, so trees of any depth fall in logarithmically many rounds. A round
     is a few shuffles over the linked nodes, with partial minima before each shuffle and the result cut to the shared folder.
     """
-    both = cut(links.where("a <> b").select("a", "b").distinct())
-    both = both.unionByName(both.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    parents = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("parent")))
+    pairs = stored(links.where("a <> b").select("a", "b").distinct(), "components-links")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    parents = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("parent")), "components")
     while True:
         grand = parents.alias("x").join(parents.alias("y"), F.col("x.parent") == F.col("y.node")).select("x.node", "x.parent", F.col("y.parent").alias("grand"))
         offered = both.join(grand, both.b == grand.node).select("a", "grand")  # to a, from its neighbour b
@@ -28,9 +28,11 @@ def components(links: DataFrame) -> DataFrame:
         step = grand.join(best, "node")
         hooks = step.select(F.col("parent").alias("node"), "best").unionByName(step.select("node", F.least("best", "grand").alias("best")))
         least = hooks.groupBy("node").agg(F.min("best").alias("best"))
-        new = cut(parents.join(least, "node", "left").select("node", F.least("parent", "best").alias("parent"), (F.col("best") < F.col("parent")).alias("moved")))
-        parents = new.select("node", "parent")
+        new = stored(parents.select("node", "parent").join(least, "node", "left").select("node", F.least("parent", "best").alias("parent"), (F.col("best") < F.col("parent")).alias("moved")), "components")
+        dropped(parents)
+        parents = new
         if not new.where("moved").head(1):
+            dropped(pairs)
             return parents.select("node", F.col("parent").alias("component"))
 
 

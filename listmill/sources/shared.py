@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 #: Used only by a session in one JVM that names no shared folder, as in local tests.
 LOCAL = "/tmp/checkpoints/listmill"
-#: Shuffle files go when the execution that wrote them ends.
-SWEEP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Set while tables are stored: shuffle files go when the execution that wrote them ends, and Python workers get a thousand rows at a time, as rows may be long texts.
+SETTINGS = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
 _PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
 
 
@@ -29,13 +29,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 @contextmanager
 def swept(spark: SparkSession) -> Iterator[None]:
-    """Inside, shuffle files are deleted as soon as what an execution returns is written: no later one reads them."""
-    before = spark.conf.get(SWEEP, "false")
-    spark.conf.set(SWEEP, "true")
+    """Inside, SETTINGS hold: no later execution reads the shuffles of one that runs here."""
+    before = {k: spark.conf.get(k, None) for k in SETTINGS}
+    for k, v in SETTINGS.items():
+        spark.conf.set(k, v)
     try:
         yield
     finally:
-        spark.conf.set(SWEEP, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def cut(df: DataFrame) -> DataFrame:
