@@ -56,8 +56,10 @@ def search(k: int):
     def block(row: dict, ids: np.ndarray, asked: np.ndarray, best: list) -> list:
         d = row["dim"]
         names, x = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"]).reshape(-1, d)
-        cells, each = np.frombuffer(row["cells"], np.uint8).reshape(-1, d), np.arange(d)
-        low, high = (np.frombuffer(row[c]).reshape(CELLS, d)[cells, each] for c in ("low", "high"))
+        if "bounds" not in row:  # once for all query blocks
+            cells, each = np.frombuffer(row["cells"], np.uint8).reshape(-1, d), np.arange(d)
+            row["bounds"] = tuple(np.frombuffer(row[c]).reshape(CELLS, d)[cells, each] for c in ("low", "high"))
+        low, high = row["bounds"]
         plus, minus = np.maximum(asked, 0), np.minimum(asked, 0)
         upper, lower = plus @ high.T + minus @ low.T, plus @ low.T + minus @ high.T
         slack = 1e-12 * (np.abs(asked) @ np.maximum(np.abs(low), np.abs(high)).T)

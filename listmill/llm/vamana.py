@@ -134,7 +134,10 @@ def index(rows: DataFrame, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """dim, vectors, edges, start, ids, begins: a row for each shard. A vertex's ids are ids[begins[i]:begins[i + 1]], ascending."""
     sizes = {r.dim: r.n for r in rows.groupBy("dim").agg(F.count("*").alias("n")).collect()}  # one number for each length of vector
     shards = F.coalesce(*(F.when(F.col("dim") == d, F.lit(math.ceil(n / shard_rows))) for d, n in sizes.items()), F.lit(1))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), shards.cast("long")))
+    # equal vectors are one vertex, but rows that repeat one vec_id may differ: the vector is part of what deals them
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), shards.cast("long")))
+    tasks = sum(math.ceil(n / shard_rows) for n in sizes.values())
+    dealt = dealt.repartitionByRange(max(1, tasks), "dim", "shard")  # a task for each shard
 
     def each(table: pa.Table) -> pa.Table:
         names = np.asarray(table["vec_id"])
@@ -155,7 +158,9 @@ def search(k: int, width: int = BEAM):
         v = np.frombuffer(row["vectors"]).reshape(-1, row["dim"])
         edges = np.frombuffer(row["edges"], np.int32).reshape(len(v), DEGREE)
         names, begins = np.frombuffer(row["ids"], np.int64), np.frombuffer(row["begins"], np.int64)
-        found, _ = beam(lifted(v), edges, row["start"], np.hstack([asked, np.zeros((len(asked), 1))]).astype(np.float32), max(width, k + 1))
+        if "lifted" not in row:  # once for all query blocks
+            row["lifted"] = lifted(v)
+        found, _ = beam(row["lifted"], edges, row["start"], np.hstack([asked, np.zeros((len(asked), 1))]).astype(np.float32), max(width, k + 1))
         out = []
         for q, near in enumerate(found):
             near = near[near >= 0]

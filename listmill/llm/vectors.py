@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from .common import dropped, shared_dir, stored
+
 #: Queries in a block, and bytes of query blocks that are sent to all tasks at once: more blocks are searched in further passes.
 QUERY_ROWS, SENT_BYTES = 256, 16 << 20
 
@@ -48,15 +51,15 @@ def blocks(rows: DataFrame, size: int) -> DataFrame:
 Search = Callable[[dict, np.ndarray, np.ndarray, list | None], list]
 
 
-def nearest(index: DataFrame, queries: DataFrame, k: int, search, score: str) -> DataFrame:
+def nearest(index: DataFrame, queries: DataFrame, k: int, search: Search, score: str) -> DataFrame:
     """query_id, rank, vec_id, score: each query's k best over all rows of the index.
 
     index: rows with dim and what `search` needs. search(row, query ids, query vectors, best): best is a (scores, ids) list so far for each
-    query, best first; it returns the list after the row. Query blocks go to all tasks, SENT_BYTES at a time; a task keeps k rows a query.
+    query, best first; it returns the list after the row. Query blocks go to all tasks, SENT_BYTES at a time, and a pass over the index reads each of its rows once
+    for all of them; a task keeps k rows a query, which are appended to one table, so the plan doesn't grow with the passes.
     """
-    from .common import cut
-
-    asked = cut(blocks(queries, QUERY_ROWS).withColumn("block", F.monotonically_increasing_id()))
+    spark = index.sparkSession
+    asked = stored(blocks(queries, QUERY_ROWS).withColumn("block", F.monotonically_increasing_id()), "vectors-queries")
     sizes = sorted((r.block, r.size) for r in asked.select("block", (F.length("ids") + F.length("vectors")).alias("size")).collect())  # a number for QUERY_ROWS queries
     passes, load = [[]], 0
     for block, size in sizes:
@@ -65,29 +68,27 @@ def nearest(index: DataFrame, queries: DataFrame, k: int, search, score: str) ->
             load = 0
         passes[-1].append(block)
         load += size
-    columns = [c for c in index.columns if c != "dim"]
-
-    def each(batches: Iterator[pa.RecordBatch], _schema=None) -> Iterator[pa.RecordBatch]:
-        best: dict[int, list] = {}
-        names: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for row in batch.to_pylist():
-                block = row["block"]
-                ids = np.frombuffer(row["q_ids"], np.int64)
-                if block not in best:
-                    best[block], names[block] = [([], [])] * len(ids), ids
-                best[block] = search(row, ids, np.frombuffer(row["q_vectors"]).reshape(len(ids), -1), best[block])
-        for block, lists in best.items():
-            q = np.repeat(names[block], [len(x[0]) for x in lists])
-            yield pa.record_batch({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array([i for x in lists for i in x[1]], pa.int64()), "score": pa.array([s for x in lists for s in x[0]], kind)})
-
     kind = pa.int64() if score == "long" else pa.float64()
-    found = None
+    schema, folder = f"query_id long, vec_id long, score {score}", f"{shared_dir(spark)}/vectors-found-{uuid.uuid4().hex}"
     for some in passes:
-        part = asked.where(F.col("block").between(some[0], some[-1])) if some else asked.limit(0)
-        part = part.select("block", F.col("dim").alias("q_dim"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"))
-        pairs = index.join(F.broadcast(part), F.col("dim") == F.col("q_dim")).select("dim", *columns, "block", "q_ids", "q_vectors")
-        got = pairs.mapInArrow(each, f"query_id long, vec_id long, score {score}")
-        found = got if found is None else found.unionByName(got)
+        sent = spark.sparkContext.broadcast([(r.dim, r.ids, r.vectors) for r in asked.where(F.col("block").between(some[0], some[-1])).collect()] if some else [])  # SENT_BYTES and a block at most
+
+        def each(batches: Iterator[pa.RecordBatch], _schema=None) -> Iterator[pa.RecordBatch]:
+            asked_here = [(d, np.frombuffer(i, np.int64), np.frombuffer(v).reshape(-1, d)) for d, i, v in sent.value]  # noqa: B023  this pass's
+            best = [[([], [])] * len(ids) for _, ids, _ in asked_here]
+            for batch in batches:
+                for at in range(batch.num_rows):
+                    row = batch.slice(at, 1).to_pylist()[0]
+                    for n, (d, ids, v) in enumerate(asked_here):
+                        if d == row["dim"]:
+                            best[n] = search(row, ids, v, best[n])
+            for (_, ids, _), lists in zip(asked_here, best, strict=True):
+                q = np.repeat(ids, [len(x[0]) for x in lists])
+                yield pa.record_batch({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array([i for x in lists for i in x[1]], pa.int64()), "score": pa.array([s for x in lists for s in x[0]], kind)})
+
+        index.mapInArrow(each, schema).write.mode("append").parquet(folder)
+        sent.destroy()
+    dropped(asked)
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = spark.read.schema(schema).parquet(folder)
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
