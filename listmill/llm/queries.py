@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 from collections.abc import Callable
 
@@ -17,7 +16,7 @@ def vocabulary(path: str | None = None) -> str:
     if path is None:
         import public_tokenizers
 
-        path = os.environ.get("LISTMILL_VOCABULARY") or public_tokenizers.path("byte_bpe_50k.json")
+        path = public_tokenizers.path("byte_bpe_50k.json")
     with open(path, encoding="utf-8") as f:
         return f.read()
 
@@ -28,7 +27,8 @@ def held(n: int, rest: int):
 
 
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_bwt.removed(common.read(spark, sf_dir, "documents"))
+    found = suffix_bwt.removed(common.read(spark, sf_dir, "documents"), with_text=True)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
