@@ -8,8 +8,9 @@ windows of one anchor need comparing. Consecutive windows with one anchor are a
 2. Anchors are counted; those of one place are dropped.
 3. Texts with other anchors give their segments' places and digests. Equal segments become one variant, with its places counted.
 4. Variants of one anchor are cut from their texts and compared by a resolver (a merged Burrows-Wheeler transform, or a suffix automaton), some anchors at a time.
-5. An anchor with more symbols in its variants than a resolver takes is parted: its variants go through 2 to 4 again as texts of their own, with anchors of
-   longer strings, at last as long as a window, where each window has an anchor to itself.
+5. An anchor with more symbols in its variants than a resolver takes is parted. Variants of words go through 2 to 4 again as texts of their own, with anchors of
+   longer strings, at last as long as a window, where each window has an anchor to itself. Variants of bytes, whose windows are too many for that, are parted into
+   stretches of windows that are counted by their text, from long ones to single windows.
 6. The spans found go back to their rows.
 
 Everything that meets in a task is bounded: a text, the variants of some anchors up to `hot` symbols, counts by key. Keys with many rows (an anchor or
@@ -259,13 +260,48 @@ def resolved(items: DataFrame, kind: Kind, resolver: Resolver, earlier: bool) ->
     cold = _cut(items, open_.where("not hot"), kind, False)
     spans = spans.unionByName(cold.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(each, "row long, a long, b long"))
     tables = [segs, variants, open_]
-    if open_.where("hot").head(1):
+    if not open_.where("hot").head(1):
+        return spans, tables
+    if kind.words:
         parts = common.stored(_cut(items, open_.where("hot"), kind.longer(), True).withColumn("item", F.monotonically_increasing_id()), "repeats-parts")
         more, read = resolved(parts, kind.longer(), resolver, earlier)
-        spans, tables = spans.unionByName(more), [*tables, parts, *read]
+        return spans.unionByName(more), [*tables, parts, *read]
+    rows = _cut(items, open_.where("hot"), kind, False).select("seg", "windows", "doc_id", "row", "at")
+    for width in WIDTHS:
+        parts = common.stored(common.mapped(rows, _apart(kind, width), _PART_DDL), "repeats-parts")
+        same = common.stored(parts.groupBy("key").agg(F.count("*").alias("n"), F.min(F.expr(PLACE)).alias("first"), F.min("windows").alias("windows"), F.min("seg").alias("seg")), "repeats-parts-distinct")
+        again = parts.select("key", "row", "doc_id", "at", "windows").join(same.where("n > 1").select("key", "first"), "key")
+        again = again.where(F.expr(PLACE) > F.col("first")) if earlier else again
+        spans = spans.unionByName(again.select("row", F.col("at").alias("a"), (F.col("at") + F.col("windows")).alias("b")))
+        rows, tables = same.select("seg", "windows", "first.doc_id", "first.row", "first.at"), [*tables, parts, same]  # the first stands for all equal ones
     return spans, tables
 
 
+#: Windows in the stretches that variants of a hot anchor of bytes are parted into, one after the other. Stretches begin at multiples of the width from the anchor, so that the same windows fall together.
+WIDTHS = (64, 16, 4, 1)
+_PART = pa.schema([("key", pa.binary()), ("seg", pa.binary()), ("windows", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("at", pa.int64())])
+_PART_DDL = "key binary, seg binary, windows long, doc_id long, row long, at long"
+
+
+def _apart(kind: Kind, width: int):
+    def each(batch):
+        out = {f.name: [] for f in _PART}
+        for seg, windows, doc_id, row, at in zip(*(batch.column(i).to_pylist() for i in range(5)), strict=True):
+            symbols = kind.symbols(seg)
+            anchor = int(hashes(kind, symbols[: kind.length]).argmin())
+            edges = [0, *range(anchor % width or width, windows, width), windows]
+            for a, b in zip(edges, edges[1:], strict=False):
+                part = kind.join(symbols[a : b - 1 + kind.length])
+                for name, value in (("key", hashlib.blake2b(part, digest_size=16).digest()), ("seg", part), ("windows", b - a), ("doc_id", doc_id), ("row", row), ("at", at + a)):
+                    out[name].append(value)
+            if len(out["key"]) > 5_000:
+                yield _rows(out, _PART)
+                out = {f.name: [] for f in _PART}
+        yield _rows(out, _PART)
+
+    return each
+
+
 def _spans(held: list[tuple], kind: Kind, resolver: Resolver) -> pa.RecordBatch:
     held.sort(key=lambda x: x[0])
     rows, a, b = [], [], []

@@ -2,9 +2,10 @@
 
 Each shard's suffixes are sorted once, which gives its transform (what stands before each suffix, in suffix order) and its
 steps from a suffix to the longer one. Shards are then merged without sorting suffixes again, by refining how they interleave:
-if the interleaving sorts all suffixes by their first h bytes, dealing its entries stably into buckets by the q bytes before each brings together those with the same
-first h + q (the q bytes are numbered beforehand, so a round costs as much for 40 bytes as for one). Where neighbours fall apart in a round, their common prefix is
-shorter than its depth; at a depth of `length`, what still hangs together are the repeated intervals: the suffixes that share `length` bytes.
+if the interleaving sorts all suffixes by their first h bytes, dealing its entries stably into buckets by the byte before each sorts them by h + 1 bytes.
+Where neighbours fall apart in a round, their common prefix ends. After q rounds the intervals that still hang together number the strings of q bytes, in order,
+so from then on a round can deal by the q bytes before each entry and go q bytes further (q is 5, then 20, then 100). At a depth of `length`, the intervals left are
+the repeated ones: the suffixes that share `length` bytes.
 
 What repeats anywhere in the corpus meets in one merge because texts are cut into segments by anchor first (see repeats).
 
@@ -59,31 +60,14 @@ class Shard:
         self.place[order] = np.arange(n)
 
 
-#: Bytes that a round of refinement goes on by, at most.
-STRIDE = 40
-
-
-def grams(codes: np.ndarray, q: int) -> np.ndarray:
-    """A number for the q symbols that begin at each place of a text (read as a ring), the same for the same symbols."""
-
-    def paired(x: np.ndarray, y: np.ndarray, at: int) -> np.ndarray:
-        return np.unique(x * (np.int64(y.max()) + 1) + np.roll(y, -at), return_inverse=True)[1]
-
-    spans, n = {1: codes.astype(np.int64)}, 1
-    while 2 * n <= q:
-        spans[2 * n] = paired(spans[n], spans[n], n)
-        n *= 2
-    out, done = spans[n], n
-    while done < q:
-        n = max(k for k in spans if k <= q - done)
-        out, done = paired(out, spans[n], done), done + n
-    return out
+#: Depths at which the intervals' numbers are kept, to go on by so many bytes a round: each a multiple of the one before.
+STRIDES = (5, 20, 100)
 
 
 def interleaved(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The merged order of all suffixes by their first `length` bytes (places in the shards' orders, one after the other), and where a new common prefix begins.
+    """The merged order of all suffixes by their first `length` bytes (places in the shards' orders, one after the other), and the bytes that each shares with the one before it, `length` at most (the first: none).
 
-    A suffix that meets a mark within those bytes has no equal.
+    A suffix that meets a mark within those bytes shares none beyond it.
     """
     base = np.cumsum([0, *(len(s.order) for s in shards)])
     n = int(base[-1])
@@ -91,41 +75,57 @@ def interleaved(shards: list[Shard], length: int) -> tuple[np.ndarray, np.ndarra
     at = np.concatenate([s.order + b for s, b in zip(shards, base, strict=False)])  # where each suffix begins
     place = np.concatenate([s.place + b for s, b in zip(shards, base, strict=False)])
     marks = np.concatenate([[0], np.cumsum(text == 0)])
+    names = {1: text.astype(np.int32)}  # of the strings of so many bytes at each place
 
     def steps(q: int):
         """The transforms in steps of q: what stands in the q places before each suffix, the suffix that begins there, and whether a suffix meets a mark in its first q places."""
-        before = grams(text, q)[(at - q) % n]
+        before = names[q][(at - q) % n]
         alone = marks[np.minimum(at + q, n)] > marks[at]
         return (before & 0xFFFF).astype(np.uint16), (before >> 16).astype(np.uint16) if before.max() > 0xFFFF else None, place[(at - q) % n].astype(np.int32), alone
 
     order, starts = np.arange(n, dtype=np.int32), np.zeros(n, bool)
     starts[0] = True
-    stride = min(STRIDE, length)
-    for q, rounds in ((length % stride, 1), (stride, length // stride)):
-        if not q:
-            continue
-        low, high, to, alone = steps(q)
-        for _ in range(rounds):
-            # deal into buckets by what stands before, stably: a radix pass, or two where there are many buckets
-            deal = np.argsort(low[order], kind="stable")
-            if high is not None:
-                deal = deal[np.argsort(high[order[deal]], kind="stable")]
-            interval = np.cumsum(starts, dtype=np.int32)[deal]
-            old = order[deal]
-            order = to[old]
-            starts = np.empty(n, bool)
-            starts[0] = True
-            np.not_equal(interval[1:], interval[:-1], out=starts[1:])
-            for half in (low, high):
-                if half is not None:
-                    bucket = half[old]
-                    starts[1:] |= bucket[1:] != bucket[:-1]
-            single = alone[order]
-            starts |= single
-            starts[1:] |= single[:-1]
-            if starts.all():
-                return order, starts
-    return order, starts
+    shared = np.full(n, length, np.int32)
+    shared[0] = 0
+    depth, stride, tables = 0, 0, None
+    while depth < length and not starts.all():
+        q = max((k for k in names if k <= length - depth), default=1)
+        if q != stride:
+            stride, tables = q, steps(q)
+        low, high, to, alone = tables
+        # deal into buckets by what stands before, stably: a radix pass, or two where there are many buckets
+        deal = np.argsort(low[order], kind="stable")
+        if high is not None:
+            deal = deal[np.argsort(high[order[deal]], kind="stable")]
+        interval = np.cumsum(starts, dtype=np.int32)[deal]
+        old = order[deal]
+        order, apart = to[old], starts
+        starts = np.empty(n, bool)
+        starts[0] = True
+        np.not_equal(interval[1:], interval[:-1], out=starts[1:])
+        for half in (low, high):
+            if half is not None:
+                bucket = half[old]
+                starts[1:] |= bucket[1:] != bucket[:-1]
+        single = alone[order]
+        starts |= single
+        starts[1:] |= single[:-1]
+        new = np.flatnonzero(starts & ~apart)  # these fall apart within the last q bytes
+        shared[new] = depth
+        left, right = at[order[new - 1]] + depth, at[order[new]] + depth
+        for _ in range(q - 1):
+            x = text[left % n]
+            same = (x == text[right % n]) & (x > 0)
+            new, left, right = new[same], left[same] + 1, right[same] + 1
+            if not len(new):
+                break
+            shared[new] += 1
+        depth += q
+        if depth in STRIDES and depth < length:
+            of = np.empty(n, np.int32)
+            of[at[order]] = np.cumsum(starts, dtype=np.int32)
+            names[depth] = of
+    return order, shared
 
 
 def windows_that_repeat(kind: Kind, variants: list[tuple[bytes, int]]) -> list[list[tuple[int, int]]]:
@@ -139,11 +139,10 @@ def windows_that_repeat(kind: Kind, variants: list[tuple[bytes, int]]) -> list[l
             strings, load = [], 0
     if strings:
         shards.append(Shard(strings, kind.length))
-    order, starts = interleaved(shards, kind.length)
-    begins = np.flatnonzero(starts)
-    sizes = np.diff(np.append(begins, len(starts)))
-    repeat = np.repeat(sizes > 1, sizes)
-    flags = np.zeros(len(starts), bool)
+    order, shared = interleaved(shards, kind.length)
+    tied = shared >= kind.length  # with the one before; an interval is a run of these and the one it begins with
+    repeat = tied | np.append(tied[1:], False)
+    flags = np.zeros(len(order), bool)
     places = np.concatenate([s.order + b for s, b in zip(shards, np.cumsum([0, *(len(s.order) for s in shards)]), strict=False)])
     flags[places[order[repeat]]] = True
     out, at = [], 0
