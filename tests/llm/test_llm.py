@@ -109,10 +109,26 @@ def test_empty_tables(spark):
     assert vafile.top_k(none, F.col("vec_id") % 50 == 0).collect() == [] and vamana.nearest(none, F.col("vec_id") % 20 == 0).collect() == []
 
 
-@pytest.mark.parametrize("stride", [1, 5, 40])
-def test_merged_transforms_with_many_shards(monkeypatch, stride):
+def at_string(strings, place):
+    """Where the string begins that holds a place of a shard's text, and the string."""
+    begin = 0
+    for s in strings:
+        if place <= begin + len(s):
+            return begin, s
+        begin += len(s) + 1
+
+
+def common_prefix(a, b):
+    n = 0
+    while n < min(len(a), len(b)) and a[n] == b[n]:
+        n += 1
+    return n
+
+
+@pytest.mark.parametrize("strides", [(), (5,), (2, 4), (3, 12)])
+def test_merged_transforms_with_many_shards(monkeypatch, strides):
     monkeypatch.setattr(suffix_bwt, "SHARD", 40)
-    monkeypatch.setattr(suffix_bwt, "STRIDE", stride)
+    monkeypatch.setattr(suffix_bwt, "STRIDES", strides)
     rnd, kind = random.Random(5), Kind(False, 12, 4)
     for _ in range(60):
         base = bytes(rnd.choices(b"abcd \x00", k=80))
@@ -121,6 +137,14 @@ def test_merged_transforms_with_many_shards(monkeypatch, stride):
         for s, spans in zip(some, suffix_bwt.windows_that_repeat(kind, [(s, len(s) - 11) for s in some]), strict=True):
             on = {i for a, b in spans for i in range(a, b)}
             assert on == {i for i in range(len(s) - 11) if found[s[i : i + 12]] > 1}
+        # the order, and the common prefixes of neighbours in it
+        halves = [some[: len(some) // 2 + 1], some[len(some) // 2 + 1 :]]
+        shards = [suffix_bwt.Shard(x, 12) for x in halves if x]
+        order, shared = suffix_bwt.interleaved(shards, 12)
+        tails = [s[i:] for x, of in zip([h for h in halves if h], shards, strict=True) for i, s in ((p - b, y) for p in of.order.tolist() for b, y in [at_string(x, p)])]
+        merged = [tails[i][:12] for i in order.tolist()]
+        assert merged == sorted(merged)
+        assert shared[0] == 0 and all(shared[i] == common_prefix(merged[i - 1], merged[i]) for i in range(1, len(merged)))
 
 
 def test_top_k_is_exact(spark, monkeypatch):
@@ -200,7 +224,7 @@ def brute_groups(prints, most):
     return {i: find(i) for i in ids}
 
 
-@pytest.mark.parametrize("hot", [64, 2])
+@pytest.mark.parametrize("hot", [64, 10, 2, 1])
 def test_simhash_links(spark, hot):
     rnd, prints = random.Random(6), {}
     for base in (rnd.getrandbits(64) for _ in range(4)):
