@@ -6,8 +6,9 @@ principle on a ring). A chain of one segment then has no differing bit as long a
 in a bucket for each segment's value; within a bucket the chains of two, three, ... segments must stay within their
 budgets before the full Hamming check.
 
-A bucket that many different fingerprints share is not joined with itself: its members go by exact meeting points
-instead (values within half the distance of each), a number of rows that is linear in the members.
+A bucket that many different fingerprints share is not joined with itself: its members are put in buckets for chains of two segments, the
+second being within what the chain's budget leaves it (here one bit). Members of such a bucket that is still too large go by exact meeting points
+instead (values within half the distance of each). Either is a number of rows that is linear in the members.
 
 Defined results: null text is the empty text; a document without words has fingerprint 0 and is linked like any other;
 repeated rows get the same fingerprint and component; an empty table gives an empty table; extra columns are ignored.
@@ -99,8 +100,22 @@ def links(vertices: DataFrame, distance: int = 2, segments: int = 3, hot: int =
     ring = reduce(Column.__or__, ((F.col("x.seg") == s) & chain(s) for s in range(segments)))
     near = x.join(y, (F.col("x.seg") == F.col("y.seg")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.id") < F.col("y.id")) & ring & (_differs(F.col("x.fp"), F.col("y.fp")) <= distance))
     found = near.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+    # chains of two segments may differ in one bit: each member stands at its own second segment's value and at those one bit off
+    second = F.element_at(F.array(*_segments(F.col("fp"), segments)), ((F.col("seg") + 1) % segments + 1).cast("int"))
+    width = F.element_at(F.array(*(F.lit(64 * (i + 1) // segments - 64 * i // segments) for i in range(segments))), ((F.col("seg") + 1) % segments + 1).cast("int"))
+    off = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.struct(F.lit(1).alias("off"), second.bitwiseXOR(F.pow(F.lit(2.0), i).cast("long")).alias("after")))
+    chained = busy.where(F.col("n") > hot).select("seg", "value", "id", "fp", F.inline(F.concat(F.array(F.struct(F.lit(0).alias("off"), second.alias("after"))), off)))
+    chained = common.stored(chained, "simhash-chained")
+    keys = ["seg", "value", "after"]
+    full = common.stored(chained.groupBy(*keys).agg(F.count("*").alias("m"), F.count_if(F.col("off") == 0).alias("own")).where("m > 1 and own > 0"), "simhash-full")
+    few = chained.join(full.where(F.col("m") <= 4 * hot), keys)
+    x, y = few.where("off = 0").alias("x"), few.alias("y")
+    apart = (F.col("x.id") < F.col("y.id")) | ((F.col("y.off") == 1) & (F.col("x.id") != F.col("y.id")))
+    same = (F.col("x.seg") == F.col("y.seg")) & (F.col("x.value") == F.col("y.value")) & (F.col("x.after") == F.col("y.after"))
+    near = x.join(y, same & apart & (_differs(F.col("x.fp"), F.col("y.fp")) <= distance))
+    found = found.unionByName(near.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")))
     # Two fingerprints at most two bits apart are both within one bit of a common value, and any two within one bit of a value are at most two apart.
-    members = busy.where(F.col("n") > hot).select("id", "fp").distinct()
+    members = chained.join(full.where(F.col("m") > 4 * hot), keys, "left_semi").select("id", "fp").distinct()
     flips = [F.lit(0).cast("long"), *(F.lit(1 << i if i < 63 else -(1 << 63)).cast("long") for i in range(64))]
     meet = members.select("id", F.explode(F.array(*(F.col("fp").bitwiseXOR(f) for f in flips))).alias("point"))
     met = meet.groupBy("point").agg(F.min("id").alias("a"), F.collect_list("id").alias("ids"), F.count("*").alias("n")).where("n > 1")  # 65 ids at most
@@ -126,19 +141,35 @@ WIDE, LEAST_BITS = 2046, 22
 SHARED = 7.8
 #: Segments of the chain that is checked from a shared segment on before the whole fingerprints are.
 CHAIN = 8
-#: Segments whose buckets are compared with their least members first, before all are.
-FIRST = 6
+#: Segments, from and to, whose buckets are compared with one member first: a few join most of a large group, some more what is left of it; then all (and shingles) are.
+ROUNDS = ((0, 6), (6, 24), None)
 #: Standard deviations added to the expected difference, so that pairs at the very threshold are found; what else they let in goes by its exact similarity.
-LENIENT = 4.0
+LENIENT = 2.5
 #: Majority bits of small sets differ by more than arccos() tells, so sets of up to so many shingles also meet by shingles, which is exact.
 SMALL = 32
 
 
+_MIX = [np.uint64(x) for x in (0xBF58476D1CE4E5B9, 0x94D049BB133111EB)]
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * _MIX[0]
+    x = (x ^ (x >> np.uint64(27))) * _MIX[1]
+    return x ^ (x >> np.uint64(31))
+
+
 def shingles(text: bytes, k: int = 5) -> np.ndarray:
-    """Sorted 64-bit hashes of the set of k-word shingles of a text, words lower-cased as in fingerprint()."""
+    """Sorted 64-bit hashes of the set of k-word shingles of a text, words lower-cased as in fingerprint(): each mixes the hashes of its words in their order."""
     words = text.translate(LOWER).split()
-    found = {b" ".join(words)} if len(words) < k else {b" ".join(words[i : i + k]) for i in range(len(words) - k + 1)}
-    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found)))
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+    if len(words) < k:
+        h = np.array([xxhash.xxh3_64_intdigest(h.tobytes())], np.uint64)
+    else:
+        n, base = len(words) - k + 1, h
+        h = base[:n]
+        for i in range(1, k):
+            h = _mixed(h) + base[i : i + n]
+    return np.unique(h)
 
 
 def jaccard(x: np.ndarray, y: np.ndarray) -> float:
@@ -146,18 +177,16 @@ def jaccard(x: np.ndarray, y: np.ndarray) -> float:
     return both / (len(x) + len(y) - both)
 
 
+_STEPS = np.arange(1, -(-WIDE // 64) + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
 def wide_fingerprint(h: np.ndarray) -> np.ndarray:
-    """Bits (0 or 1) of a set of shingles()."""
-    n = WIDE
-    size, counts = len(h), []
-    for _ in range(-(-n // 64)):
-        h = h + np.uint64(0x9E3779B97F4A7C15)
-        x = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        x ^= x >> np.uint64(31)
-        b = x.view(np.uint8).reshape(-1, 8)
-        counts.append((np.bincount((b + np.arange(0, 2048, 256)).ravel(), minlength=2048).reshape(8, 256) @ BITS).ravel())
-    return (np.concatenate(counts)[:n] * 2 > size).astype(np.uint8)
+    """Bits (0 or 1) of a set of shingles(): each bit is 1 if it is in over half of the hashes that follow from the shingles'."""
+    counts = np.zeros(len(_STEPS) * 64, np.int64)
+    for i in range(0, len(h), 255):  # sums of 255 bits fit into a byte
+        x = _mixed(h[i : i + 255, None] + _STEPS)
+        counts += np.unpackbits(x.view(np.uint8), axis=1).sum(0, dtype=np.uint8)
+    return (counts[:WIDE] * 2 > len(h)).astype(np.uint8)
 
 
 def arrangement(i: int) -> np.ndarray:
@@ -253,7 +282,7 @@ def _shingle_keys(one: DataFrame, similarity: float) -> DataFrame:
 
 def _exact(pairs: DataFrame, prints: DataFrame, vertices: DataFrame, similarity: float, k: int) -> DataFrame:
     """Of pairs a, b those whose sets of shingles have at least this Jaccard similarity; only the texts of these pairs are fetched."""
-    pairs = common.cut(pairs)
+    pairs = common.stored(pairs, "simhash-wide-pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
     sets = vertices.join(ids, "id", "left_semi").select("id", "set")
     texts = common.stored(prints.select("set", "z").join(sets, "set").groupBy("id").agg(F.first("z").alias("z")), "simhash-wide-texts")
@@ -265,8 +294,8 @@ def _exact(pairs: DataFrame, prints: DataFrame, vertices: DataFrame, similarity:
         near = [jaccard(of(x.as_py()), of(y.as_py())) >= similarity for x, y in zip(batch.column(2), batch.column(3), strict=True)]
         yield pa.record_batch([c.filter(pa.array(near, pa.bool_())) for c in batch.columns[:2]], names=["a", "b"])
 
-    found = common.cut(common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "a_z", "b_z"), each, "a long, b long"))
-    common.dropped(texts)
+    found = common.stored(common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "a_z", "b_z"), each, "a long, b long"), "simhash-wide-links")
+    common.dropped(texts, pairs)
     return found
 
 
@@ -274,8 +303,8 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> Data
     """doc_id, component_id of every row: groups linked by a similarity of their sets of k-word shingles of at least `similarity`.
 
     Fingerprints find candidates only: a link is what the Jaccard similarity of the two sets themselves allows.
-    Buckets hold the fingerprints that share a segment, and the small sets that share one of their rarest shingles. First each is compared with its bucket's least one, which joins large groups at a
-    cost linear in them; then, in buckets that still hold several groups, all but the largest group's members are compared with
+    Buckets hold the fingerprints that share a segment, and the small sets that share one of their rarest shingles. In some rounds each is compared with one of its bucket's largest group, which joins
+    large groups at a cost linear in them; then, in buckets that still hold several groups, all but the largest group's members are compared with
     those of other groups. So no two of one group are compared for nothing, and no pair of a bucket that could link two groups is left out.
     """
     return _similar(docs, similarity, k).select("doc_id", "component_id")
@@ -305,12 +334,9 @@ def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
     cuts = Ring.of(one.count(), similarity)
     parts = []
     for keyed in (*(_segment_keys(one, i, cuts) for i in range(cuts.arrangements)), _shingle_keys(one, similarity)):
-        least = keyed.groupBy("key").agg(F.count("*").alias("c"), F.min("id").alias("least")).where("c > 1").drop("c")
-        parts.append(common.stored(keyed.join(least, "key"), "simhash-wide-keys"))
-    shared = reduce(DataFrame.unionByName, parts)
-    heads = shared.where("id = least").select("key", F.col("n").alias("least_n"), F.col("sketch").alias("least_sketch"))
-    busy = common.stored(shared.join(heads, "key"), "simhash-wide-busy")
-    common.dropped(*parts)
+        several = keyed.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key")
+        parts.append(common.stored(keyed.join(several, "key"), "simhash-wide-keys"))
+    busy = reduce(DataFrame.unionByName, parts)
     only = one.select("id", "bits")
     most, most_sketch = budget(similarity), budget(similarity, 64)
 
@@ -318,20 +344,36 @@ def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
         """Sizes allow the similarity, and 64 bits of the fingerprints don't tell against it."""
         return (F.least(n, m) / F.greatest(n, m) >= similarity) & ((key < 0) | (_differs(x, y) <= most_sketch))
 
-    links, held = None, busy.withColumns({"group": F.col("id"), "least_group": F.col("least")})
-    for since, until in ((0, (FIRST << cuts.bits) - 1), (-(1 << 63), (1 << 63) - 1)):  # a few segments join most of a large group; later ones add only pairs that aren't in one group yet
-        star = held.where((F.col("group") != F.col("least_group")) & F.col("key").between(since, until) & likely(F.col("key"), F.col("n"), F.col("least_n"), F.col("sketch"), F.col("least_sketch")))
-        star = star.groupBy(F.col("least").alias("a"), F.col("id").alias("b")).agg(F.min("key").alias("key"))
+    def grouped(rows: DataFrame, links: DataFrame | None) -> DataFrame:
+        if links is None:
+            return rows.withColumn("group", F.col("id"))
+        reached = components(links).select(F.col("node").alias("id"), "component")
+        return rows.join(reached, "id", "left").select("key", "id", "n", "sketch", F.coalesce("component", "id").alias("group"))
+
+    def mixed(rows: DataFrame, spread: int) -> DataFrame:
+        """key, main (its largest group, the least of several), size (of the bucket), head: one member of that group, the least, or by a hash where a large group is to be met at many places."""
+        turn = F.xxhash64("key", F.lit(spread)).bitwiseAND(F.lit((1 << 62) - 1)) if spread else F.lit(0).cast("long")
+        per = rows.groupBy("key", "group").agg(F.count("*").alias("c"), F.min(F.col("id").bitwiseXOR(turn)).alias("head"))
+        best = F.max_by(F.struct(F.col("group").alias("main"), "head"), F.struct("c", -F.col("group")))
+        many = per.groupBy("key").agg(best.alias("b"), F.count("*").alias("groups"), F.sum("c").alias("size")).where("groups > 1")
+        return many.select("key", "b.main", F.col("b.head").bitwiseXOR(turn).alias("head"), "size")
+
+    verified: list[DataFrame] = []
+    links, sizes = None, one.select(F.col("id").alias("head"), F.col("n").alias("head_n"), F.col("sketch").alias("head_sketch"))
+    for spread, window in enumerate(ROUNDS):
+        inside = busy if window is None else busy.where(F.col("key").between(window[0] << cuts.bits, (window[1] << cuts.bits) - 1))
+        rows = common.stored(grouped(inside, links), "simhash-wide-grouped")
+        star = rows.join(mixed(rows, spread if window else 0).join(sizes, "head"), "key")
+        star = star.where((F.col("group") != F.col("main")) & likely(F.col("key"), F.col("n"), F.col("head_n"), F.col("sketch"), F.col("head_sketch")))
+        star = star.groupBy(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).agg(F.min("key").alias("key"))
         found = _exact(_near(star, only, most, cuts), prints, one, similarity, k)
         links = found if links is None else links.unionByName(found)
-        reached = components(links)
-        named = [reached.select(F.col("node").alias(n), F.col("component").alias(f"{n}_component")) for n in ("id", "least")]
-        held = busy.join(named[0], "id", "left").join(named[1], "least", "left").select(*busy.columns, F.coalesce("id_component", "id").alias("group"), F.coalesce("least_component", "least").alias("least_group"))
-    held = common.stored(held.select("key", "id", "n", "sketch", "group"), "simhash-wide-held")
-    common.dropped(busy)
-    per = held.groupBy("key", "group").agg(F.count("*").alias("c"))
-    mixed = per.groupBy("key").agg(F.max_by("group", F.struct("c", "group")).alias("main"), F.count("*").alias("groups"), F.sum("c").alias("c")).where("groups > 1 and c > 2").select("key", "main")  # two were compared already
-    bare = common.stored(held.join(mixed, "key"), "simhash-wide-mixed")
+        verified.append(found)
+        common.dropped(rows)
+    held = common.stored(grouped(busy, links), "simhash-wide-held")
+    common.dropped(*parts)
+    open_ = mixed(held, 0).where("size > 2").select("key", "main")  # two were compared already
+    bare = common.stored(held.join(open_, "key"), "simhash-wide-mixed")
     common.dropped(held)
     words = _words(only.join(bare.select("id").distinct(), "id", "left_semi"))
     several = common.stored(bare.join(words, "id"), "simhash-wide-several")
@@ -343,12 +385,13 @@ def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
     near = near & ((F.col("x.key") < 0) | (apart <= most))
     across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.group") != F.col("y.group")) & near)
     across = across.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.min("x.key").alias("key"))
-    links = links.unionByName(_exact(_near(across, only, most, cuts), prints, one, similarity, k))
+    verified.append(_exact(_near(across, only, most, cuts), prints, one, similarity, k))
+    links = reduce(DataFrame.unionByName, verified)
     common.dropped(several)
     of = one.join(components(links), one.id == F.col("node"), "left").select("set", F.coalesce("component", "id").alias("component"))
     of = of.join(one.select(F.col("id").alias("component"), F.col("first").alias("component_id")), "component").select("set", "component_id")
     found = common.stored(prints.select("doc_id", "text_key", "set").join(of, "set").drop("set"), "simhash-wide-components")
-    common.dropped(prints, one)
+    common.dropped(prints, one, *verified)
     return found
 
 
