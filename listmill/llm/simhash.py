@@ -145,6 +145,9 @@ CHAIN = 8
 ROUNDS = ((0, 6), (6, 24), None)
 #: Standard deviations added to the expected difference, so that pairs at the very threshold are found; what else they let in goes by its exact similarity.
 LENIENT = 2.5
+#: A text that meets a bucket's largest group in many buckets is compared with its members by blocks of so many fingerprints rather than bucket by bucket:
+#: where it would meet them more than OFTEN times and more than a quarter as often as there are members.
+BLOCK, OFTEN = 64, 16
 #: Majority bits of small sets differ by more than arccos() tells, so sets of up to so many shingles also meet by shingles, which is exact.
 SMALL = 32
 
@@ -246,6 +249,37 @@ def _near(pairs: DataFrame, prints: DataFrame, most: int, cuts: Ring) -> DataFra
     return common.mapped(pairs.join(a, "a").join(b, "b").select("a", "b", "key", "a_bits", "b_bits"), each, "a long, b long")
 
 
+def _by_blocks(texts: DataFrame, members: DataFrame, prints: DataFrame, most: int, similarity: float) -> DataFrame:
+    """a, b: of texts (id, n, main) and members (the same) of one main, those whose sizes allow the similarity and whose fingerprints differ in at most `most` bits. A row that meets another holds a block of them."""
+
+    def blocks(rows: DataFrame, name: str) -> DataFrame:
+        counts = rows.groupBy("main").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+        parted = rows.join(counts, "main").join(prints, "id").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")))
+        return common.stored(parted.groupBy("main", "block").agg(F.collect_list(F.struct("id", "n", "bits")).alias(name)).drop("block"), "simhash-wide-blocks")
+
+    def each(batch):
+        found = [], []
+        sides = []
+        for c in batch.columns:
+            id_, n, bits = c.flatten().flatten()
+            words = np.frombuffer(b"".join(bits.to_pylist()), np.uint8).reshape(len(id_), -1)
+            sides.append((np.asarray(id_), np.asarray(n), np.pad(words, ((0, 0), (0, -words.shape[1] % 8))).view(np.uint64), np.concatenate([[0], np.cumsum(np.asarray(c.value_lengths()))])))
+        (xi, xn, xw, xe), (yi, yn, yw, ye) = sides
+        for r in range(batch.num_rows):
+            x, y = slice(xe[r], xe[r + 1]), slice(ye[r], ye[r + 1])
+            apart = np.bitwise_count(xw[x, None] ^ yw[None, y]).sum(2, dtype=np.int64)
+            n, m = xn[x, None], yn[None, y]
+            i, j = np.nonzero((apart <= most) & (np.minimum(n, m) / np.maximum(n, m) >= similarity))
+            found[0].append(np.minimum(xi[x][i], yi[y][j]))
+            found[1].append(np.maximum(xi[x][i], yi[y][j]))
+        yield pa.record_batch([pa.array(np.concatenate(f)) for f in found], names=["a", "b"])
+
+    xs, ys = blocks(texts, "x"), blocks(members, "y")
+    pairs = common.stored(common.mapped(xs.join(ys, "main").select("x", "y"), each, "a long, b long"), "simhash-wide-block-pairs")
+    common.dropped(xs, ys)
+    return pairs
+
+
 def _words(prints: DataFrame) -> DataFrame:
     """id, words: the fingerprint's bits as longs, for SQL."""
 
@@ -305,7 +339,7 @@ def similar_groups(docs: DataFrame, similarity: float = 0.8, k: int = 5) -> Data
     Fingerprints find candidates only: a link is what the Jaccard similarity of the two sets themselves allows.
     Buckets hold the fingerprints that share a segment, and the small sets that share one of their rarest shingles. In some rounds each is compared with one of its bucket's largest group, which joins
     large groups at a cost linear in them; then, in buckets that still hold several groups, all but the largest group's members are compared with
-    those of other groups. So no two of one group are compared for nothing, and no pair of a bucket that could link two groups is left out.
+    those of other groups: with the largest group by blocks of its members where many buckets hold both. So no two of one group are compared for nothing, and no pair of a bucket that could link two groups is left out.
     """
     return _similar(docs, similarity, k).select("doc_id", "component_id")
 
@@ -351,19 +385,19 @@ def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
         return rows.join(reached, "id", "left").select("key", "id", "n", "sketch", F.coalesce("component", "id").alias("group"))
 
     def mixed(rows: DataFrame, spread: int) -> DataFrame:
-        """key, main (its largest group, the least of several), size (of the bucket), head: one member of that group, the least, or by a hash where a large group is to be met at many places."""
+        """key, main (its largest group, the least of several), own (its rows), size (of the bucket), head: one member of that group, the least, or by a hash where a large group is to be met at many places."""
         turn = F.xxhash64("key", F.lit(spread)).bitwiseAND(F.lit((1 << 62) - 1)) if spread else F.lit(0).cast("long")
         per = rows.groupBy("key", "group").agg(F.count("*").alias("c"), F.min(F.col("id").bitwiseXOR(turn)).alias("head"))
-        best = F.max_by(F.struct(F.col("group").alias("main"), "head"), F.struct("c", -F.col("group")))
+        best = F.max_by(F.struct(F.col("group").alias("main"), F.col("c").alias("own"), "head"), F.struct("c", -F.col("group")))
         many = per.groupBy("key").agg(best.alias("b"), F.count("*").alias("groups"), F.sum("c").alias("size")).where("groups > 1")
-        return many.select("key", "b.main", F.col("b.head").bitwiseXOR(turn).alias("head"), "size")
+        return many.select("key", "b.main", "b.own", F.col("b.head").bitwiseXOR(turn).alias("head"), "size")
 
     verified: list[DataFrame] = []
     links, sizes = None, one.select(F.col("id").alias("head"), F.col("n").alias("head_n"), F.col("sketch").alias("head_sketch"))
     for spread, window in enumerate(ROUNDS):
         inside = busy if window is None else busy.where(F.col("key").between(window[0] << cuts.bits, (window[1] << cuts.bits) - 1))
         rows = common.stored(grouped(inside, links), "simhash-wide-grouped")
-        star = rows.join(mixed(rows, spread if window else 0).join(sizes, "head"), "key")
+        star = rows.join(mixed(rows, spread if window else 0).drop("own").join(sizes, "head"), "key")
         star = star.where((F.col("group") != F.col("main")) & likely(F.col("key"), F.col("n"), F.col("head_n"), F.col("sketch"), F.col("head_sketch")))
         star = star.groupBy(F.least("head", "id").alias("a"), F.greatest("head", "id").alias("b")).agg(F.min("key").alias("key"))
         found = _exact(_near(star, only, most, cuts), prints, one, similarity, k)
@@ -372,22 +406,36 @@ def _similar(docs: DataFrame, similarity: float, k: int) -> DataFrame:
         common.dropped(rows)
     held = common.stored(grouped(busy, links), "simhash-wide-held")
     common.dropped(*parts)
-    open_ = mixed(held, 0).where("size > 2").select("key", "main")  # two were compared already
+    open_ = mixed(held, 0).where("size > 2").select("key", "main", "own")  # two were compared already
     bare = common.stored(held.join(open_, "key"), "simhash-wide-mixed")
     common.dropped(held)
-    words = _words(only.join(bare.select("id").distinct(), "id", "left_semi"))
-    several = common.stored(bare.join(words, "id"), "simhash-wide-several")
-    common.dropped(bare)
+    outside = F.col("group") != F.col("main")
+    members = common.stored(bare.where(~outside).select("id", "n", "main").distinct(), "simhash-wide-members")
+    most_of = members.groupBy("main").agg(F.count("*").alias("members"))
+    meets = bare.where(outside).groupBy("id", "n", "main").agg(F.sum("own").alias("meets")).join(most_of, "main")
+    often = common.stored(meets.where((F.col("meets") > OFTEN) & (F.col("meets") * 4 > F.col("members"))).select("id", "n", "main"), "simhash-wide-often")
+    blocked = _by_blocks(often, members.join(often, "main", "left_semi"), only, most, similarity)
+    # what is left: texts that meet a bucket's largest group seldom, and the others of a bucket among each other
+    outer = common.stored(bare.where(outside).join(often.select("id", "main", F.lit(True).alias("done")), ["id", "main"], "left"), "simhash-wide-outer")
+    per = common.stored(outer.groupBy("key").agg(F.bool_or(F.col("done").isNull()).alias("seldom"), (F.min("group") < F.max("group")).alias("several")), "simhash-wide-open")
+    others = outer.join(per.where("seldom or several").select("key"), "key", "left_semi")
+    inner = bare.where(~outside).join(per.where("seldom").select("key"), "key", "left_semi")
+    left = common.stored(others.unionByName(inner, allowMissingColumns=True), "simhash-wide-left")
+    common.dropped(bare, members, often, outer, per)
+    words = _words(only.join(left.select("id").distinct(), "id", "left_semi"))
+    several = common.stored(left.join(words, "id"), "simhash-wide-several")
+    common.dropped(left)
     x, y = several.where(F.col("group") != F.col("main")).alias("x"), several.alias("y")
     near = likely(F.col("x.key"), F.col("x.n"), F.col("y.n"), F.col("x.sketch"), F.col("y.sketch"))
     # in a large group of texts just below the similarity most pairs share a segment: whole fingerprints are compared before a pair is a row
     apart = reduce(Column.__add__, (_differs(F.col("x.words")[i], F.col("y.words")[i]) for i in range(-(-WIDE // 64))))
     near = near & ((F.col("x.key") < 0) | (apart <= most))
-    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.group") != F.col("y.group")) & near)
+    due = F.col("x.done").isNull() | (F.col("y.group") != F.col("y.main"))
+    across = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.group") != F.col("y.group")) & due & near)
     across = across.groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).agg(F.min("x.key").alias("key"))
-    verified.append(_exact(_near(across, only, most, cuts), prints, one, similarity, k))
+    verified.append(_exact(_near(across, only, most, cuts).unionByName(blocked).distinct(), prints, one, similarity, k))
     links = reduce(DataFrame.unionByName, verified)
-    common.dropped(several)
+    common.dropped(several, blocked)
     of = one.join(components(links), one.id == F.col("node"), "left").select("set", F.coalesce("component", "id").alias("component"))
     of = of.join(one.select(F.col("id").alias("component"), F.col("first").alias("component_id")), "component").select("set", "component_id")
     found = common.stored(prints.select("doc_id", "text_key", "set").join(of, "set").drop("set"), "simhash-wide-components")
