@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from listmill.llm import bpe, mixing, quality, queries, simhash, substring, suffix_bwt, toxicity, vafile, vamana, warc
+from listmill.llm import bpe, mixing, quality, queries, repeats, simhash, substring, suffix_bwt, toxicity, vafile, vamana, warc
 from listmill.llm.repeats import Kind
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, row string, anchor string, spans string"
@@ -83,6 +83,21 @@ def test_suffix_dedup(spark, monkeypatch, hot):
     assert got == brute_bytes(pairs(df), 60)
 
 
+def test_parts_of_a_hot_anchor_carry_no_text(spark, monkeypatch):
+    """A variant's text is stored once; a stretch or window of it is counted by its digest, so a part of one window takes no 60 bytes."""
+    made, stored = [], repeats.common.stored
+    monkeypatch.setattr(repeats, "HOT_BYTES", 200)
+    monkeypatch.setattr(repeats.common, "stored", lambda df, name: made.append((name, df)) or stored(df, name))
+    monkeypatch.setattr(repeats.common, "dropped", lambda *tables: None)
+    df = documents(spark, 4)
+    assert Counter(map(tuple, suffix_bwt.removed(df, 60, 16).collect())) == brute_bytes(pairs(df), 60)
+    parts = [df for name, df in made if name.startswith("repeats-parts")]
+    assert len(parts) == 2 * len(repeats.WIDTHS)
+    for part in parts:
+        carried = [F.length(f.name) for f in part.schema if f.dataType.simpleString() in ("binary", "string")]
+        assert part.where(sum(carried, F.lit(0)) > 16).count() == 0 < part.count()
+
+
 @pytest.mark.parametrize("hot", [None, 30])
 def test_substring_dedup(spark, monkeypatch, hot):
     if hot:
