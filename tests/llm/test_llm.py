@@ -84,13 +84,14 @@ def test_suffix_dedup(spark, monkeypatch, hot):
 
 
 def test_parts_of_a_hot_anchor_carry_no_text(spark, monkeypatch):
-    """A variant's text is stored once; a stretch or window of it is counted by its digest, so a part of one window takes no 60 bytes."""
+    """Variants, hot and others, are cut from the texts in one pass; a stretch or window of it is counted by its digest, so a part of one window takes no 60 bytes."""
     made, stored = [], repeats.common.stored
     monkeypatch.setattr(repeats, "HOT_BYTES", 200)
     monkeypatch.setattr(repeats.common, "stored", lambda df, name: made.append((name, df)) or stored(df, name))
     monkeypatch.setattr(repeats.common, "dropped", lambda *tables: None)
     df = documents(spark, 4)
     assert Counter(map(tuple, suffix_bwt.removed(df, 60, 16).collect())) == brute_bytes(pairs(df), 60)
+    assert [name for name, _ in made].count("repeats-cut") == 1
     parts = [df for name, df in made if name.startswith("repeats-parts")]
     assert len(parts) == 2 * len(repeats.WIDTHS)
     for part in parts:
